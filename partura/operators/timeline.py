@@ -17,7 +17,8 @@ from partura.sources.cdm import Cdm
 
 ANY_VALUE = "N/A"
 RUN_KEYS = ["person_id", "day", "category", "gest_value"]
-RUN_ORDER = ["day", "category", F.col("gest_value").asc_nulls_first()]
+# Ascending order puts nulls first.
+RUN_ORDER = ["day", "category", "gest_value"]
 
 
 # --- matching -----------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partura.functions.inline import inline_table
 from partura.sources.cdm import CONCEPT_SET_SCHEMA, Cdm
 
 FIRST_PERSON = 1_000_001
@@ -70,21 +71,10 @@ DRUG_CLASS_CYCLE = (
 
 
 def concept_set(spark: SparkSession) -> DataFrame:
-    """As an inline table, whose size Catalyst knows."""
+    return inline_table(spark, CONCEPT_SET, CONCEPT_SET_SCHEMA)
 
-    def literal(value) -> str:
-        if value is None:
-            return "NULL"
-        return f"'{value}'" if isinstance(value, str) else str(value)
 
-    rows = ", ".join(f"({', '.join(map(literal, row))})" for row in CONCEPT_SET)
-    columns = [c.split() for c in CONCEPT_SET_SCHEMA.split(", ")]
-    names = ", ".join(name for name, _ in columns)
-    df = spark.sql(f"SELECT * FROM VALUES {rows} AS t({names})")
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
-
-
-def driver_cdm(spark: SparkSession, sf_dir: str) -> Cdm:
+def driver_cdm(spark: SparkSession, sf_dir: str, first_person: int = FIRST_PERSON) -> Cdm:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -96,7 +86,7 @@ def driver_cdm(spark: SparkSession, sf_dir: str) -> Cdm:
         lineitem = read("lineitem").filter(F.col("l_linenumber").isin(*lines))
         return lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"]).select(*columns)
 
-    person = (F.col("o_custkey") + FIRST_PERSON).alias("person_id")
+    person = (F.col("o_custkey") + first_person).alias("person_id")
     offset = (F.unix_date(F.col("l_shipdate").cast("date")) - first_day) % DAYS
     day = F.date_from_unix_date(first_day + offset)
     screening_only = F.col("o_custkey") % 50 == 7
@@ -110,7 +100,7 @@ def driver_cdm(spark: SparkSession, sf_dir: str) -> Cdm:
     klass = F.element_at(F.array(*[F.lit(c) for c in DRUG_CLASS_CYCLE]), F.col("j") % 6 + 1)
 
     customer_id = F.col("c_custkey")
-    member = (customer_id + FIRST_PERSON).alias("person_id")
+    member = (customer_id + first_person).alias("person_id")
     first, last = "observation_period_start_date", "observation_period_end_date"
 
     def date(text: str) -> Column:

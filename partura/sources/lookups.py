@@ -8,6 +8,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partura.functions.inline import inline_table
+
 OUTCOME_LIMIT_SCHEMA = (
     "outcome_limit_id int, first_preg_category string, outcome_preg_category string, min_days int"
 )
@@ -126,14 +128,18 @@ class Lookups:
         """The lookups as DataFrames, in the layout of their CSV files."""
         ids = (n for n in range(1, len(self.min_days) + 3) if n not in SKIPPED_LIMIT_IDS)
         return {
-            "outcome_limit": spark.createDataFrame(
+            "outcome_limit": inline_table(
+                spark,
                 [(n, *pair, days) for n, (pair, days) in zip(ids, self.min_days.items())],
                 OUTCOME_LIMIT_SCHEMA,
             ),
-            "term_durations": spark.createDataFrame(
-                [(category, *row) for category, row in self.terms.items()], TERM_DURATIONS_SCHEMA
+            "term_durations": inline_table(
+                spark,
+                [(category, *row) for category, row in self.terms.items()],
+                TERM_DURATIONS_SCHEMA,
             ),
-            "gest_est": spark.createDataFrame(
+            "gest_est": inline_table(
+                spark,
                 [(n, category, *row) for n, (category, row) in enumerate(self.gestation.items(), 1)],
                 GEST_EST_SCHEMA,
             ),
