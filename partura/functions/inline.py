@@ -3,20 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-
-def _literal(value) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, str):
-        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return str(value)
+from partura.functions.text import listed
 
 
 def inline_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     columns = [column.split() for column in schema.split(", ")]
-    values = ", ".join(f"({', '.join(map(_literal, row))})" for row in rows)
+    values = ", ".join(f"({listed(row)})" for row in rows)
     names = ", ".join(name for name, _ in columns)
-    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
-    return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
+    typed = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in columns)
+    return spark.sql(f"SELECT {typed} FROM VALUES {values} AS t({names})")

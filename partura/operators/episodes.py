@@ -20,15 +20,15 @@ EPISODE_SCHEMA = (
 
 def all_starts(picks: DataFrame, rules: Rules) -> DataFrame:
     """Every candidate episode: each outcome with each of its starts, refined ones included."""
-    starts = F.concat("starts", F.array_compact(F.array("refined")))
+    starts = "array_distinct(concat(starts, array_compact(array(refined))))"
     return (
         with_starts(picks, rules)
-        .withColumn("s", F.explode_outer(F.array_distinct(starts)))
-        .filter(F.col("s").isNotNull())
+        .selectExpr("person_id", "day AS end_day", "category", f"explode_outer({starts}) AS s")
+        .filter("s IS NOT NULL")
         .select(
             "person_id",
             to_date(F.col("s.day")).alias("episode_start_date"),
-            to_date(F.col("day")).alias("episode_end_date"),
+            to_date(F.col("end_day")).alias("episode_end_date"),
             F.col("s.label").alias("start_category"),
             F.col("category").alias("outcome_category"),
             F.col("s.rank").alias("rank"),
@@ -41,17 +41,15 @@ def best_episodes(picks: DataFrame, rules: Rules) -> DataFrame:
 
     Accepted outcomes of a person never share a day, so no comparison between rows is needed.
     """
-    chosen = F.least("refined", "best")
     return (
         with_starts(picks, rules)
-        .withColumn("s", chosen)
-        .select(
+        .selectExpr("person_id", "day", "category", "has_two_events", "least(refined, best) AS s")
+        .selectExpr(
             "person_id",
-            F.col("s.day").alias("start_day"),
-            F.col("day").alias("end_day"),
-            F.col("s.label").alias("start_category"),
-            F.col("category").alias("outcome_category"),
-            F.col("s.rank").alias("rank"),
+            "s.day AS start_day",
+            "day AS end_day",
+            "s.label AS start_category",
+            "category AS outcome_category",
             "has_two_events",
         )
     )

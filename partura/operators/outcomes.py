@@ -13,49 +13,41 @@ pass, moving event dates as it goes. Two facts make that a fixed number of steps
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date
+from partura.functions.text import one_of, struct
 from partura.rules import OutcomeStep, Rules
 from partura.sources.lookups import Lookups
 
-IS_FIRST_OF_RUN = "is_first"
 
+def by_day(value: str, start: str, end: str) -> str:
+    """An aggregate over a person's records in a range of days around the row's day."""
+    frame = f"RANGE BETWEEN {start} AND {end}"
+    return f"{value} OVER (PARTITION BY person_id ORDER BY day {frame})"
 
-def days_around(start: int, end: int):
-    """Window over a person's records from ``start`` to ``end`` days relative to the row's day."""
-    return Window.partitionBy("person_id").orderBy("day").rangeBetween(start, end)
 
-
-def latest_day(categories: tuple[str, ...], window) -> Column:
-    return F.max(F.when(F.col("category").isin(*categories), F.col("day"))).over(window)
+def latest_day(categories: tuple[str, ...], start: int, end: int) -> str:
+    """Latest day from ``start`` to ``end`` days after the row with one of the categories."""
+    found = f"max(CASE WHEN {one_of('category', categories)} THEN day END)"
+    first = "CURRENT ROW" if start == 0 else f"{start} FOLLOWING"
+    return by_day(found, first, f"{end} FOLLOWING")
 
 
 # --- moving dates -------------------------------------------------------------------------------
 
 
-def _move(runs: DataFrame, new_day: str) -> DataFrame:
+def _move(runs: DataFrame) -> DataFrame:
     """Move the first event of each run to ``new_day``; equal events behind it stay."""
-    n, event_id, first = F.col("n_events"), F.col("event_id"), F.col(IS_FIRST_OF_RUN)
-    one = F.lit(1).cast("long")
-    moved = F.col(new_day).alias("day")
-
-    def part(day, n_events, number, is_first):
-        return F.struct(
-            day.alias("day"), n_events.alias("n_events"), number.alias("event_id"),
-            is_first.alias(IS_FIRST_OF_RUN),
-        )
-
-    whole = F.array(part(moved, n, event_id, first))
-    split = F.array(
-        part(moved, one, event_id, first), part(F.col("day"), n - 1, event_id + 1, F.lit(False))
-    )
-    parts = F.when((F.col(new_day) != F.col("day")) & (n > 1), split).otherwise(whole)
-    replaced = ("day", "n_events", "event_id", IS_FIRST_OF_RUN, new_day)
+    replaced = ("day", "n_events", "event_id", "is_first", "new_day")
     kept = [c for c in runs.columns if c not in replaced]
-    # The outer form: a plain explode would copy this expression into a filter below itself.
-    return runs.select(*kept, F.explode_outer(parts).alias("part")).select(*kept, "part.*")
+    whole = struct(day="new_day", n_events="n_events", event_id="event_id", is_first="is_first")
+    head = struct(day="new_day", n_events="1L", event_id="event_id", is_first="is_first")
+    rest = struct(day="day", n_events="n_events - 1", event_id="event_id + 1", is_first="false")
+    parts = f"IF(new_day <> day AND n_events > 1, array({head}, {rest}), array({whole}))"
+    # The outer form: the plain one would copy this expression into a filter below itself.
+    return runs.selectExpr(*kept, f"inline_outer({parts})")
 
 
 def move_rounds(rules: Rules) -> list[list[OutcomeStep]]:
@@ -70,15 +62,14 @@ def move_rounds(rules: Rules) -> list[list[OutcomeStep]]:
     return rounds
 
 
-def _move_round(runs: DataFrame, steps: list[OutcomeStep], rules: Rules) -> DataFrame:
-    ahead = days_around(0, rules.revision_days)
-    day = F.col("day")
-    new_day = day
-    for step in steps:
-        moves = (F.col("category") == step.target) & F.col(IS_FIRST_OF_RUN)
-        found = F.coalesce(latest_day(step.moved_by, ahead), day)
-        new_day = F.when(moves, found).otherwise(new_day)
-    return _move(runs.withColumn("new_day", new_day), "new_day")
+def _new_day(steps: list[OutcomeStep], rules: Rules) -> str:
+    """Day an event moves to in a round; its own day for everything that stays."""
+    cases = " ".join(
+        f"WHEN category = '{step.target}' AND is_first "
+        f"THEN coalesce({latest_day(step.moved_by, 0, rules.revision_days)}, day)"
+        for step in steps
+    )
+    return f"CASE {cases} ELSE day END AS new_day" if steps else "day AS new_day"
 
 
 def settled_runs(numbered: DataFrame, rules: Rules) -> DataFrame:
@@ -87,87 +78,84 @@ def settled_runs(numbered: DataFrame, rules: Rules) -> DataFrame:
     ``pool_day`` is the day before the move, ``confirmed`` and ``ruled_out`` the verdicts from
     records, ``is_first`` marks the event that stands for its run.
     """
-    confirmed = F.lit(True)
-    for step in rules.steps:
-        if step.confirmed_by:
-            found = latest_day(step.confirmed_by, days_around(0, rules.revision_days)).isNotNull()
-            confirmed = F.when(F.col("category") == step.target, found).otherwise(confirmed)
-    runs = (
-        numbered.withColumn(IS_FIRST_OF_RUN, F.lit(True))
-        .withColumn("pool_day", F.col("day"))
-        .withColumn("confirmed", confirmed)
+    confirmed = " ".join(
+        f"WHEN category = '{step.target}' "
+        f"THEN {latest_day(step.confirmed_by, 0, rules.revision_days)} IS NOT NULL"
+        for step in rules.steps
+        if step.confirmed_by
     )
-    for steps in move_rounds(rules):
-        runs = _move_round(runs, steps, rules)
-    soon = days_around(1, rules.rule_out_days)
-    return runs.withColumn("ruled_out", latest_day(rules.active_categories, soon).isNotNull())
+    confirmed = f"CASE {confirmed} ELSE true END" if confirmed else "true"
+    first, *others = move_rounds(rules)
+    runs = _move(
+        numbered.withColumn("is_first", F.lit(True)).selectExpr(
+            "*", "day AS pool_day", f"{confirmed} AS confirmed", _new_day(first, rules)
+        )
+    )
+    for steps in others:
+        runs = _move(runs.selectExpr("*", _new_day(steps, rules)))
+    active = latest_day(rules.active_categories, 1, rules.rule_out_days)
+    return runs.selectExpr("*", f"{active} IS NOT NULL AS ruled_out")
 
 
 # --- acceptance ---------------------------------------------------------------------------------
 
 
-def priority(rules: Rules, targets: tuple[str, ...] | None = None) -> Column:
-    """Position of the row's category among the targets, null for other categories."""
-    code = F.lit(None).cast("int")
-    for i, target in enumerate(rules.targets):
-        if targets is None or target in targets:
-            code = F.when(F.col("category") == target, F.lit(i)).otherwise(code)
-    return code
-
-
-def is_target(rules: Rules, targets: tuple[str, ...] | None = None) -> Column:
+def is_target(rules: Rules, targets: tuple[str, ...] | None = None) -> str:
     """Rows that stand for an outcome event of the given types."""
-    return F.col(IS_FIRST_OF_RUN) & F.col("category").isin(*(targets or rules.targets))
+    return f"(is_first AND {one_of('category', targets or rules.targets)})"
 
 
-def is_candidate(rules: Rules, targets: tuple[str, ...] | None = None) -> Column:
+def is_candidate(rules: Rules, targets: tuple[str, ...] | None = None) -> str:
     """Outcome events that records neither refute nor leave unconfirmed."""
-    unchecked = [step.target for step in rules.steps if not step.rule_out]
-    stands = F.col("category").isin(*unchecked) | ~F.col("ruled_out")
-    return is_target(rules, targets) & stands & F.col("confirmed")
+    unchecked = one_of("category", (step.target for step in rules.steps if not step.rule_out))
+    return f"({is_target(rules, targets)} AND ({unchecked} OR NOT ruled_out) AND confirmed)"
 
 
-def candidate(rules: Rules, *payload: str) -> Column:
+def candidate(rules: Rules, *payload: str) -> str:
     """What the fold knows of a candidate; its order is the order of acceptance."""
-    return F.struct(
-        priority(rules).alias("code"), "pool_day", "event_id", "day", "category", *payload
+    codes = " ".join(f"WHEN '{target}' THEN {i}" for i, target in enumerate(rules.targets))
+    return struct(
+        code=f"CASE category {codes} END",
+        pool_day="pool_day",
+        event_id="event_id",
+        day="day",
+        category="category",
+        **{name: name for name in payload},
     )
 
 
-def too_close(accepted: Column, cand: Column, lookups: Lookups, rules: Rules) -> Column:
+def too_close(accepted: str, cand: str, lookups: Lookups, rules: Rules) -> str:
     """Whether an accepted outcome forbids a candidate.
 
     The distance counts one day on from the candidate before its sign is dropped, so the bound
     is a day longer towards earlier outcomes than it looks. That is part of the definition.
     """
-    gap = lookups.gap
-    forward_only = [i for i, step in enumerate(rules.steps) if step.forward_only]
-    after = cand["day"] - accepted["day"] + 1 < gap(rules.targets, accepted["code"], cand["code"])
-    needed = F.when(
-        accepted["day"] <= cand["day"], gap(rules.targets, accepted["code"], cand["code"])
-    ).otherwise(gap(rules.targets, cand["code"], accepted["code"]))
-    around = F.abs(accepted["day"] - cand["day"] + 1) < needed
-    return F.when(cand["code"].isin(*forward_only), after).otherwise(around)
-
-
-def accept(candidates: Column, lookups: Lookups, rules: Rules) -> Column:
-    """Greedy choice over one person's candidates, as an array of those kept."""
-    return F.aggregate(
-        F.array_sort(candidates),
-        F.slice(candidates, 1, 0),
-        lambda kept, cand: F.when(
-            F.exists(kept, lambda one: too_close(one, cand, lookups, rules)), kept
-        ).otherwise(F.concat(kept, F.array(cand))),
+    behind = lookups.gap(rules.targets, f"{accepted}.code", f"{cand}.code")
+    ahead = lookups.gap(rules.targets, f"{cand}.code", f"{accepted}.code")
+    forward_only = one_of(
+        f"{cand}.code", (i for i, step in enumerate(rules.steps) if step.forward_only)
+    )
+    return (
+        f"IF({forward_only}, {cand}.day - {accepted}.day + 1 < {behind}, "
+        f"abs({accepted}.day - {cand}.day + 1) < "
+        f"IF({accepted}.day <= {cand}.day, {behind}, {ahead}))"
     )
 
 
+def accept(lookups: Lookups, rules: Rules) -> str:
+    """Greedy choice over one person's ``candidates``, as an array of those kept."""
+    conflict = f"exists(kept, one -> {too_close('one', 'cand', lookups, rules)})"
+    keep = f"(kept, cand) -> IF({conflict}, kept, concat(kept, array(cand)))"
+    return f"aggregate(array_sort(candidates), slice(candidates, 1, 0), {keep})"
+
+
 def people_with_accepted(
     settled: DataFrame,
     lookups: Lookups,
     rules: Rules,
     payload: tuple[str, ...] = (),
     through: str | None = None,
-    collect: dict[str, Column] | None = None,
+    collect: dict[str, str] | None = None,
 ) -> DataFrame:
     """One row per person with the array ``accepted``, in order of acceptance.
 
@@ -175,14 +163,13 @@ def people_with_accepted(
     skip the run). ``through`` stops after that step.
     """
     targets = rules.through(through) if through else rules.targets
-    struct = candidate(rules, *payload)
-    arrays = {"candidates": F.when(is_candidate(rules, targets), struct), **(collect or {})}
+    chosen = f"CASE WHEN {is_candidate(rules, targets)} THEN {candidate(rules, *payload)} END"
+    arrays = {"candidates": chosen, **(collect or {})}
     return (
         settled.groupBy("person_id")
-        .agg(*[F.collect_list(values).alias(name) for name, values in arrays.items()])
-        .filter(F.size("candidates") > 0)
-        .withColumn("accepted", accept(F.col("candidates"), lookups, rules))
-        .drop("candidates")
+        .agg(*[F.expr(f"collect_list({values}) AS {name}") for name, values in arrays.items()])
+        .filter("size(candidates) > 0")
+        .selectExpr("person_id", f"{accept(lookups, rules)} AS accepted", *(collect or {}))
     )
 
 
@@ -192,9 +179,9 @@ def valid_outcomes(
     """Accepted outcomes: ``(person_id, event_id, category, event_date)``."""
     people = people_with_accepted(settled, lookups, rules, through=through)
     return (
-        people.select("person_id", F.explode_outer("accepted").alias("o"))
-        .filter(F.col("o").isNotNull())
-        .select("person_id", "o.event_id", "o.category", to_date(F.col("o.day")).alias("event_date"))
+        people.selectExpr("person_id", "inline_outer(accepted)")
+        .filter("event_id IS NOT NULL")
+        .select("person_id", "event_id", "category", to_date(F.col("day")).alias("event_date"))
     )
 
 
@@ -281,27 +268,28 @@ def pool_after_pass(pool: DataFrame, target: str) -> DataFrame:
 def ruled_out(settled: DataFrame, rules: Rules) -> DataFrame:
     """Outcome events refuted by an active-pregnancy record soon after."""
     checked = tuple(step.target for step in rules.steps if step.rule_out)
-    return settled.filter(is_target(rules, checked) & F.col("ruled_out")).select(
+    return settled.filter(f"{is_target(rules, checked)} AND ruled_out").select(
         "person_id", "event_id", "category"
     )
 
 
 def confirmations(numbered: DataFrame, target: str, rules: Rules) -> DataFrame:
     """Latest confirming record of each target event within the revision window."""
-    found = latest_day(rules.step(target).confirmed_by, days_around(0, rules.revision_days))
-    rows = numbered.withColumn("found", found).filter(F.col("category") == target)
+    found = latest_day(rules.step(target).confirmed_by, 0, rules.revision_days)
+    rows = numbered.selectExpr("*", f"{found} AS found").filter(F.col("category") == target)
     return _dated(rows, "confirmation_date")
 
 
 def revised_dates(numbered: DataFrame, target: str, rules: Rules) -> DataFrame:
     """Day a target event moves to, where a record within the window gives one."""
-    runs = numbered.withColumn(IS_FIRST_OF_RUN, F.lit(True))
+    runs = numbered.withColumn("is_first", F.lit(True))
     for steps in move_rounds(rules):
         if any(step.target == target for step in steps):
             break
-        runs = _move_round(runs, steps, rules)
-    found = latest_day(rules.step(target).moved_by, days_around(0, rules.revision_days))
-    return _dated(runs.withColumn("found", found).filter(is_target(rules, (target,))), "revised_date")
+        runs = _move(runs.selectExpr("*", _new_day(steps, rules)))
+    found = latest_day(rules.step(target).moved_by, 0, rules.revision_days)
+    rows = runs.selectExpr("*", f"{found} AS found").filter(is_target(rules, (target,)))
+    return _dated(rows, "revised_date")
 
 
 def _dated(rows: DataFrame, name: str) -> DataFrame:
@@ -316,20 +304,20 @@ def _dated(rows: DataFrame, name: str) -> DataFrame:
 def prior_flags(settled: DataFrame, target: str, lookups: Lookups, rules: Rules) -> DataFrame:
     """For each person's earliest target event: which already accepted outcomes lie before it."""
     before = rules.through(target)[-2]
-    cursor = F.when(is_target(rules, (target,)), F.struct("pool_day", "event_id", "day"))
+    when = struct(pool_day="pool_day", event_id="event_id", day="day")
+    targets = f"CASE WHEN {is_target(rules, (target,))} THEN {when} END"
     people = people_with_accepted(
-        settled, lookups, rules, through=before, collect={"targets": cursor}
+        settled, lookups, rules, through=before, collect={"targets": targets}
     )
     return (
-        people.withColumn("cursor", F.array_min("targets"))
-        .filter(F.col("cursor").isNotNull())
-        .select("person_id", "cursor", F.explode_outer("accepted").alias("o"))
-        .filter(F.col("o").isNotNull())
-        .select(
+        people.filter("size(targets) > 0")
+        .selectExpr("person_id", "array_min(targets) AS cursor", "explode_outer(accepted) AS o")
+        .filter("o IS NOT NULL")
+        .selectExpr(
             "person_id",
-            F.col("cursor.event_id").alias("event_id"),
-            F.col("o.event_id").alias("accepted_event_id"),
-            (F.col("o.day") <= F.col("cursor.day")).cast("int").alias("prior"),
+            "cursor.event_id",
+            "o.event_id AS accepted_event_id",
+            "CAST(o.day <= cursor.day AS INT) AS prior",
         )
     )
 
@@ -337,13 +325,13 @@ def prior_flags(settled: DataFrame, target: str, lookups: Lookups, rules: Rules)
 def gap_conflicts(settled: DataFrame, target: str, lookups: Lookups, rules: Rules) -> DataFrame:
     """Target events that lie too close to an outcome accepted in an earlier step."""
     before = rules.through(target)[-2]
-    targets = F.when(is_target(rules, (target,)), candidate(rules))
+    targets = f"CASE WHEN {is_target(rules, (target,))} THEN {candidate(rules)} END"
     people = people_with_accepted(
         settled, lookups, rules, through=before, collect={"targets": targets}
     )
-    conflict = F.exists("accepted", lambda one: too_close(one, F.col("c"), lookups, rules))
+    conflict = f"exists(accepted, one -> {too_close('one', 'c', lookups, rules)})"
     return (
-        people.select("person_id", "accepted", F.explode_outer("targets").alias("c"))
-        .filter(F.col("c").isNotNull() & conflict)
-        .select("person_id", "c.event_id")
+        people.selectExpr("person_id", "accepted", "explode_outer(targets) AS c")
+        .filter(f"c IS NOT NULL AND {conflict}")
+        .selectExpr("person_id", "c.event_id")
     )

@@ -7,11 +7,12 @@ evidence, outcomes) that are matched where they lie: no join, no further shuffle
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date
-from partura.operators.outcomes import days_around, people_with_accepted
+from partura.functions.text import literal, one_of, struct
+from partura.operators.outcomes import by_day, people_with_accepted
 from partura.rules import Rules, StartRule
 from partura.sources.lookups import Lookups
 
@@ -21,31 +22,26 @@ MARKERS = ("PREM", "POSTT", "FT")
 # --- outcomes with their surroundings -----------------------------------------------------------
 
 
-def _evidence(rule: StartRule) -> Column:
+def _evidence(rule: StartRule) -> str:
     """A record's implied start; for GEST with the record's day in front, which decides ties."""
     if rule.shift is None:
-        value = F.struct(
-            F.col("day").alias("day"), (F.col("day") + F.col("gest_value")).alias("start")
-        )
+        value = struct(day="day", start="day + gest_value")
     else:
-        value = F.col("day") + rule.shift
-    return F.when(F.col("category").isin(*rule.categories), value)
+        value = f"day + ({rule.shift})"
+    return f"CASE WHEN {one_of('category', rule.categories)} THEN {value} END"
 
 
-def _marker(category: str) -> Column:
-    return F.when(
-        F.col("category") == category,
-        F.struct(F.col("day").alias("day"), F.col("n_events").alias("n_events")),
-    )
+def _marker(category: str) -> str:
+    return f"CASE WHEN category = '{category}' THEN {struct(day='day', n_events='n_events')} END"
 
 
-def _has_two_events(lookups: Lookups) -> Column:
+def _has_two_events(lookups: Lookups) -> str:
     """Whether two events of any category, the row's own among them, lie in the longest term
     that ends on the row's day."""
-    same_day = F.sum("n_events").over(days_around(0, 0))
-    earlier = F.max("day").over(days_around(Window.unboundedPreceding, -1))
-    first = F.col("day") - lookups.term("max_term", F.col("category")) + 1
-    return (same_day >= 2) | F.coalesce(earlier >= first, F.lit(False))
+    same_day = by_day("sum(n_events)", "CURRENT ROW", "CURRENT ROW")
+    earlier = by_day("max(day)", "UNBOUNDED PRECEDING", "1 PRECEDING")
+    first = f"day - {lookups.term('max_term', 'category')} + 1"
+    return f"({same_day} >= 2 OR coalesce({earlier} >= {first}, false))"
 
 
 def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
@@ -53,49 +49,38 @@ def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFram
 
     Columns not used further on are never collected: Catalyst prunes them from the aggregate.
     """
-    evidence = {rule.name: _evidence(rule) for rule in rules.start_rules}
-    markers = {marker: _marker(marker) for marker in MARKERS}
+    collect = {rule.name: _evidence(rule) for rule in rules.start_rules}
+    collect |= {marker: _marker(marker) for marker in MARKERS}
     people = people_with_accepted(
-        settled.withColumn("has_two_events", _has_two_events(lookups)),
+        settled.selectExpr("*", f"{_has_two_events(lookups)} AS has_two_events"),
         lookups,
         rules,
         payload=("has_two_events",),
-        collect={**evidence, **markers},
+        collect=collect,
     )
-    by_day = F.array_sort(
-        F.transform(
-            "accepted",
-            lambda o: F.struct(o["day"].alias("day"), o["event_id"].alias("event_id"),
-                               o["category"].alias("category"),
-                               o["has_two_events"].alias("has_two_events")),
-        )
-    )
-    with_prior = F.transform(
-        "by_day", lambda o, i: F.struct(o.alias("o"), F.get("by_day", i - 1).alias("prior"))
+    fields = ("day", "event_id", "category", "has_two_events")
+    own = {name: f"o.{name}" for name in fields}
+    prior = {f"prior_{name}": f"get(outcomes, i - 1).{name}" for name in ("day", "category")}
+    max_term, min_term, retry = (
+        lookups.term(column, "category") for column in ("max_term", "min_term", "retry")
     )
-    rows = (
-        people.withColumn("by_day", by_day)
-        .withColumn("each", with_prior)
-        .select("person_id", *evidence, *markers, F.explode_outer("each").alias("e"))
-        .filter(F.col("e").isNotNull())
-        .select(
+    return (
+        people.selectExpr(
+            "*", f"array_sort(transform(accepted, o -> {struct(**own)})) AS outcomes"
+        )
+        .selectExpr(
             "person_id",
-            "e.o.event_id",
-            "e.o.category",
-            "e.o.day",
-            "e.o.has_two_events",
-            F.col("e.prior.day").alias("prior_day"),
-            F.col("e.prior.category").alias("prior_category"),
-            *evidence,
-            *markers,
+            *collect,
+            f"inline_outer(transform(outcomes, (o, i) -> {struct(**own, **prior)}))",
+        )
+        .filter("event_id IS NOT NULL")
+        .selectExpr(
+            "*",
+            f"day - {max_term} AS earliest",
+            f"{retry} AS retry",
+            f"greatest(prior_day + {retry}, day - {max_term}) AS lo",
+            f"day - {min_term} AS hi",
         )
-    )
-    earliest = F.col("day") - lookups.term("max_term", F.col("category"))
-    return (
-        rows.withColumn("earliest", earliest)
-        .withColumn("retry", lookups.term("retry", F.col("category")))
-        .withColumn("lo", F.greatest(F.col("prior_day") + F.col("retry"), "earliest"))
-        .withColumn("hi", F.col("day") - lookups.term("min_term", F.col("category")))
     )
 
 
@@ -116,14 +101,17 @@ def prior_outcomes(rows: DataFrame) -> DataFrame:
 # --- single kinds of evidence -------------------------------------------------------------------
 
 
-def start_from(rule: StartRule) -> Column:
+def start_from(rule: StartRule) -> str:
     """Start day that one kind of evidence gives an outcome row, null if none is in bounds."""
-    lo, hi = F.col("lo"), F.col("hi")
     if rule.shift is None:
-        near = F.filter(rule.name, lambda e: (e["start"] >= lo) & (e["start"] <= hi))
-        return F.array_max(near)["start"]
-    near = F.filter(rule.name, lambda start: (start >= lo) & (start <= hi))
-    return F.array_max(near) if rule.latest else F.array_min(near)
+        return f"array_max(filter({rule.name}, e -> e.start BETWEEN lo AND hi)).start"
+    pick = "array_max" if rule.latest else "array_min"
+    return f"{pick}(filter({rule.name}, start -> start BETWEEN lo AND hi))"
+
+
+def borrows(rule: StartRule, rules: Rules) -> bool:
+    """Whether a rule takes its lower bound from another person's prior outcome."""
+    return rule.name == "OVUL2" and rules.ovul2_join == "reference"
 
 
 def start_from_borrowed_prior(rows: DataFrame, rule: StartRule, rules: Rules) -> DataFrame:
@@ -136,68 +124,60 @@ def start_from_borrowed_prior(rows: DataFrame, rule: StartRule, rules: Rules) ->
     Those few rows are copied to every lane; all others sit in the one lane their person falls
     in, since event numbers are small and a single one can hold a large share of all outcomes.
     """
-    lane = F.pmod(F.hash("person_id"), F.lit(rules.lanes))
-    lends = F.col("person_id") == F.col("event_id")
-    lanes = F.when(lends, F.sequence(F.lit(0), F.lit(rules.lanes - 1))).otherwise(F.array(lane))
-    same_number = Window.partitionBy("event_id", "lane")
-    lent = F.max(F.when(lends, F.struct(F.lit(True).alias("found"), "prior_day")))
-    after_lent = F.col("lent.prior_day") + F.col("retry")
-    lo = F.greatest(after_lent, "earliest")
-    near = F.filter(rule.name, lambda start: start >= lo)
+    own_lane = f"pmod(hash(person_id), {rules.lanes})"
+    lends = "person_id = event_id"
+    lanes = f"IF({lends}, sequence(0, {rules.lanes - 1}), array({own_lane}))"
+    lent = struct(found="true", prior_day="prior_day")
+    near = f"filter({rule.name}, start -> start BETWEEN earliest AND hi)"
+    late = f"filter({rule.name}, start -> start >= greatest(lent.prior_day + retry, earliest))"
+    others = [c for c in rows.columns if c != rule.name]
     return (
-        rows.withColumn(
-            rule.name,
-            F.filter(
-                rule.name, lambda start: (start >= F.col("earliest")) & (start <= F.col("hi"))
-            ),
+        rows.selectExpr(*others, f"{near} AS {rule.name}", f"explode_outer({lanes}) AS lane")
+        .selectExpr(
+            "*", f"max(IF({lends}, {lent}, NULL)) OVER (PARTITION BY event_id, lane) AS lent"
         )
-        .withColumn("lane", F.explode_outer(lanes))
-        .withColumn("lent", lent.over(same_number))
-        .filter(F.col("lane") == lane)
-        .withColumn(rule.name, F.when(F.col("lent.found"), F.array_min(near)))
-        .drop("lane", "lent")
+        .filter(f"lane = {own_lane}")
+        .selectExpr(*others, f"IF(lent.found, array_min({late}), NULL) AS {rule.name}")
     )
 
 
-def default_start(lookups: Lookups, rules: Rules) -> tuple[Column, Column]:
+def default_start(lookups: Lookups, rules: Rules) -> tuple[str, str]:
     """Label and day of the start assumed from the outcome type and term markers alone.
 
     The waiting time after the prior outcome is that of the prior outcome's type here.
     """
-    floor = F.greatest("prior_day", "earliest")
-    until = F.col("day") + rules.marker_days_after
 
-    def seen(marker: str) -> Column:
-        return F.exists(marker, lambda m: (m["day"] >= floor) & (m["day"] <= until))
+    def seen(marker: str) -> str:
+        return f"exists({marker}, m -> {_marker_in_bounds(rules)})"
 
-    def term(column: str) -> Column:
-        return lookups.default_days(column, F.col("category"))
+    def term(column: str) -> str:
+        return lookups.default_days(column, "category")
 
-    preterm = seen("PREM")
-    days = F.when(preterm, term("preterm")).when(seen("FT"), term("fullterm"))
-    after_prior = F.col("prior_day") + lookups.term("retry", F.col("prior_category"))
-    return (
-        F.when(preterm, "PREM").otherwise("DEFAULT"),
-        F.greatest(after_prior, F.col("day") - days.otherwise(term("nodata"))),
+    days = (
+        f"CASE WHEN {seen('PREM')} THEN {term('preterm')} "
+        f"WHEN {seen('FT')} THEN {term('fullterm')} ELSE {term('nodata')} END"
     )
+    after_prior = f"prior_day + {lookups.term('retry', 'prior_category')}"
+    return f"IF({seen('PREM')}, 'PREM', 'DEFAULT')", f"greatest({after_prior}, day - {days})"
 
 
-def marker_counts(rows: DataFrame, rules: Rules) -> DataFrame:
-    """Term marker events from the prior outcome (or longest term) to shortly after the outcome."""
-    floor = F.greatest("prior_day", "earliest")
-    until = F.col("day") + rules.marker_days_after
-    zero = F.lit(0).cast("long")
+def _marker_in_bounds(rules: Rules) -> str:
+    """Markers count from the prior outcome (or longest term) to shortly after the outcome."""
+    until = f"day + {rules.marker_days_after}"
+    return f"m.day BETWEEN greatest(prior_day, earliest) AND {until}"
 
-    def count(marker: str) -> Column:
-        near = F.filter(marker, lambda m: (m["day"] >= floor) & (m["day"] <= until))
-        return F.aggregate(near, zero, lambda total, m: total + m["n_events"])
 
-    return rows.select(
+def marker_counts(rows: DataFrame, rules: Rules) -> DataFrame:
+    def count(marker: str) -> str:
+        near = f"filter({marker}, m -> {_marker_in_bounds(rules)})"
+        return f"aggregate({near}, 0L, (total, m) -> total + m.n_events)"
+
+    return rows.selectExpr(
         "person_id",
         "event_id",
-        count("PREM").alias("pre_count"),
-        count("POSTT").alias("post_count"),
-        count("FT").alias("full_count"),
+        f"{count('PREM')} AS pre_count",
+        f"{count('POSTT')} AS post_count",
+        f"{count('FT')} AS full_count",
     )
 
 
@@ -206,100 +186,89 @@ def marker_counts(rows: DataFrame, rules: Rules) -> DataFrame:
 
 def picked_starts(rows: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
     """Outcome rows with one start day per kind of evidence in place of the evidence."""
-    borrowing = [
-        rule for rule in rules.start_rules
-        if rule.name == "OVUL2" and rules.ovul2_join == "reference"
-    ]
+    borrowing = [rule for rule in rules.start_rules if borrows(rule, rules)]
+    bounds = ("prior_day", "earliest", "retry", "hi") if borrowing else ()
     label, day = default_start(lookups, rules)
-    picks = rows.withColumns(
-        {
-            **{r.name: start_from(r) for r in rules.start_rules if r not in borrowing},
-            "default_label": label,
-            "default_day": day,
-        }
-    ).drop(*MARKERS)
+    picks = rows.selectExpr(
+        "person_id",
+        "event_id",
+        "category",
+        "day",
+        "has_two_events",
+        *bounds,
+        *[r.name if r in borrowing else f"{start_from(r)} AS {r.name}" for r in rules.start_rules],
+        f"{label} AS default_label",
+        f"{day} AS default_day",
+    )
     for rule in borrowing:
         picks = start_from_borrowed_prior(picks, rule, rules)
-    return picks.drop("lo", "hi", "earliest", "retry")
-
-
-def _start(rank: Column, label: Column, day: Column) -> Column:
-    return F.struct(rank.alias("rank"), label.alias("label"), day.alias("day"))
+    return picks
 
 
 def with_starts(picks: DataFrame, rules: Rules) -> DataFrame:
     """Add ``starts`` (all ranked starts), ``best`` and ``refined`` (null if not refined)."""
     ranked = [
-        F.when(F.col(r.name).isNotNull(), _start(F.lit(r.rank), F.lit(r.name), F.col(r.name)))
+        f"IF({r.name} IS NULL, NULL, {struct(rank=str(r.rank), label=literal(r.name), day=r.name)})"
         for r in rules.start_rules
         if r.rank is not None
     ]
-    default = _start(F.lit(rules.default_rank), F.col("default_label"), F.col("default_day"))
-    best = F.col("best")
-    refined = _start(
-        best["rank"] - 1, F.concat(best["label"], F.lit(":REFINED")), refined_day(best["day"])
+    default = struct(rank=str(rules.default_rank), label="default_label", day="default_day")
+    refined = struct(
+        rank="best.rank - 1", label="concat(best.label, ':REFINED')", day=refined_day("best.day")
     )
     return (
-        picks.withColumn("starts", F.array_compact(F.array(*ranked, default)))
-        .withColumn("best", F.array_min("starts"))
-        .withColumn("refined", F.when(best["rank"] > rules.refine_above_rank, refined))
+        picks.selectExpr("*", f"array_compact(array({', '.join(ranked)}, {default})) AS starts")
+        .selectExpr("*", "array_min(starts) AS best")
+        .selectExpr("*", f"IF(best.rank > {rules.refine_above_rank}, {refined}, NULL) AS refined")
     )
 
 
-def refined_day(start: Column) -> Column:
+def refined_day(start: str) -> str:
     """A weak start corrected by the first confirmation and the last contraceptive in bounds.
 
     With one of them, a confirmation pulls the start earlier or a contraceptive pushes it later.
     With both, a confirmation before the start moves it to the later of the two (unless they
     coincide), and one after the start lets the contraceptive push it.
     """
-    push, contra = F.col("PUSHBACK"), F.col("CONTRA")
     return (
-        F.when(contra.isNull(), F.least(push, start))
-        .when(push.isNull() | (push > start), F.greatest(contra, start))
-        .when((push < start) & (push != contra), F.greatest(push, contra))
-        .otherwise(start)
+        f"CASE WHEN CONTRA IS NULL THEN least(PUSHBACK, {start}) "
+        f"WHEN PUSHBACK IS NULL OR PUSHBACK > {start} THEN greatest(CONTRA, {start}) "
+        f"WHEN PUSHBACK < {start} AND PUSHBACK <> CONTRA THEN greatest(PUSHBACK, CONTRA) "
+        f"ELSE {start} END"
+    )
+
+
+def _start_columns(found: DataFrame, start: str) -> DataFrame:
+    return (
+        found.selectExpr("person_id", "event_id", f"{start} AS s")
+        .filter("s IS NOT NULL")
+        .select(
+            "person_id",
+            "event_id",
+            to_date(F.col("s.day")).alias("episode_start_date"),
+            F.col("s.label").alias("category"),
+            F.col("s.rank").alias("date_rank"),
+        )
     )
 
 
 def candidate_starts(picks: DataFrame, rules: Rules, which: str) -> DataFrame:
     """``which`` is 'starts' (every ranked start), 'best' or 'refined', as rows."""
-    found = with_starts(picks, rules)
-    if which == "starts":
-        found = found.withColumn("s", F.explode_outer("starts"))
-    else:
-        found = found.withColumn("s", F.col(which))
-    return found.filter(F.col("s").isNotNull()).select(
-        "person_id",
-        "event_id",
-        to_date(F.col("s.day")).alias("episode_start_date"),
-        F.col("s.label").alias("category"),
-        F.col("s.rank").alias("date_rank"),
-    )
+    start = "explode_outer(starts)" if which == "starts" else which
+    return _start_columns(with_starts(picks, rules), start)
 
 
 def starts_of_kind(rows: DataFrame, name: str, rules: Rules) -> DataFrame:
     """Starts from one kind of evidence, as rows."""
     rule = rules.start_rule(name)
-    if name == "OVUL2" and rules.ovul2_join == "reference":
+    if borrows(rule, rules):
         found = start_from_borrowed_prior(rows, rule, rules)
     else:
-        found = rows.withColumn(name, start_from(rule))
-    return found.filter(F.col(name).isNotNull()).select(
-        "person_id",
-        "event_id",
-        to_date(F.col(name)).alias("episode_start_date"),
-        F.lit(name).alias("category"),
-        F.lit(rule.rank).cast("int").alias("date_rank"),
-    )
+        found = rows.selectExpr("person_id", "event_id", f"{start_from(rule)} AS {name}")
+    fields = struct(rank=f"CAST({literal(rule.rank)} AS INT)", label=literal(name), day=name)
+    return _start_columns(found, f"IF({name} IS NULL, NULL, {fields})")
 
 
 def default_starts(rows: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
     label, day = default_start(lookups, rules)
-    return rows.select(
-        "person_id",
-        "event_id",
-        to_date(day).alias("episode_start_date"),
-        label.alias("category"),
-        F.lit(rules.default_rank).alias("date_rank"),
-    )
+    return _start_columns(rows, struct(rank=str(rules.default_rank), label=label, day=day))

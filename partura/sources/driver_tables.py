@@ -81,10 +81,11 @@ def driver_cdm(spark: SparkSession, sf_dir: str, first_person: int = FIRST_PERSO
     first_day = F.unix_date(F.lit(FIRST_DAY).cast("date"))
     orders = read("orders").select("o_orderkey", "o_custkey")
     customer = read("customer").select("c_custkey")
+    lines = read("lineitem")
 
-    def records(lines: tuple[int, ...], *columns: Column) -> DataFrame:
-        lineitem = read("lineitem").filter(F.col("l_linenumber").isin(*lines))
-        return lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"]).select(*columns)
+    def records(numbers: tuple[int, ...], *columns: Column) -> DataFrame:
+        own = lines.filter(F.col("l_linenumber").isin(*numbers))
+        return own.join(orders, own["l_orderkey"] == orders["o_orderkey"]).select(*columns)
 
     person = (F.col("o_custkey") + first_person).alias("person_id")
     offset = (F.unix_date(F.col("l_shipdate").cast("date")) - first_day) % DAYS

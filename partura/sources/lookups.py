@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from itertools import product
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from partura.functions.inline import inline_table
+from partura.functions.text import listed, lookup
 
 OUTCOME_LIMIT_SCHEMA = (
     "outcome_limit_id int, first_preg_category string, outcome_preg_category string, min_days int"
@@ -145,22 +145,17 @@ class Lookups:
             ),
         }
 
-    # The same tables as literal expressions, so that using them needs no join.
+    # The same tables as SQL text, so that using them needs no join.
 
-    def gap(self, targets: tuple[str, ...], first: Column, later: Column) -> Column:
+    def gap(self, targets: tuple[str, ...], first: str, later: str) -> str:
         """Minimum days between two outcomes given by their position in ``targets``."""
-        flat = F.array(*[F.lit(self.min_days[pair]) for pair in product(targets, repeat=2)])
-        return F.get(flat, first * len(targets) + later)
+        flat = listed(self.min_days[pair] for pair in product(targets, repeat=2))
+        return f"get(array({flat}), {first} * {len(targets)} + {later})"
 
-    def term(self, column: str, category: Column) -> Column:
+    def term(self, column: str, category: str) -> str:
         position = ("max_term", "min_term", "retry").index(column)
-        return _by_category({c: row[position] for c, row in self.terms.items()}, category)
+        return lookup({c: row[position] for c, row in self.terms.items()}, category)
 
-    def default_days(self, column: str, category: Column) -> Column:
+    def default_days(self, column: str, category: str) -> str:
         position = ("preterm", "postterm", "fullterm", "nodata").index(column)
-        return _by_category({c: row[position] for c, row in self.gestation.items()}, category)
-
-
-def _by_category(values: dict[str, int], category: Column) -> Column:
-    pairs = [F.lit(item) for pair in values.items() for item in pair]
-    return F.try_element_at(F.create_map(*pairs), category)
+        return lookup({c: row[position] for c, row in self.gestation.items()}, category)
