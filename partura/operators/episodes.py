@@ -40,19 +40,20 @@ def best_episodes(picks: DataFrame, rules: Rules) -> DataFrame:
     """One episode per outcome day: the start of lowest rank.
 
     Accepted outcomes of a person never share a day, so no comparison between rows is needed.
+    The start leaves through a generator: the later joins test its day, and a null test derived
+    from them would otherwise be pushed down as a second copy of the whole choice.
     """
     return (
         with_starts(picks, rules)
-        .selectExpr("person_id", "day", "category", "has_two_events", "least(refined, best) AS s")
         .selectExpr(
-            "person_id",
-            "s.day AS start_day",
-            "day AS end_day",
-            "s.label AS start_category",
-            "category AS outcome_category",
-            "has_two_events",
+            "person_id", "day AS end_day", "category AS outcome_category", "has_two_events",
+            "inline_outer(array(least(refined, best)))",
         )
-    )
+        .selectExpr(
+            "person_id", "day AS start_day", "end_day", "label AS start_category",
+            "outcome_category", "has_two_events",
+        )
+    )
 
 
 def enrolled(episodes: DataFrame, cdm: Cdm) -> DataFrame:
