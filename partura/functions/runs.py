@@ -24,10 +24,13 @@ def expand_runs(df: DataFrame, by: list[str], count: str, number: str | None = N
     """Undo the encoding: one row per counted row, numbered upwards from ``number`` if given.
 
     Long runs are cut in chunks that are spread over the cluster before they are written out.
+    The number of partitions is given, since adaptive coalescing would judge the chunks by their
+    own few bytes and bring them together again.
     """
     n = F.col(count)
     chunks = F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / CHUNK))
-    spread = df.withColumn("_chunk", F.explode(chunks)).repartition(*by, "_chunk")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.withColumn("_chunk", F.explode(chunks)).repartition(partitions, *by, "_chunk")
     first = F.col("_chunk") * CHUNK
     offsets = F.sequence(first, F.least(n, first + CHUNK) - 1)
     rows = spread.withColumn("_offset", F.explode(offsets))

@@ -24,74 +24,77 @@ RUN_ORDER = ["day", "category", "gest_value"]
 # --- matching -----------------------------------------------------------------------------------
 
 
-def _match(
-    events: DataFrame,
-    concepts: DataFrame,
-    rules: Rules,
-    kind: str,
-    concept_id: str,
-    date: str,
-    text: str | None = None,
+def _records(
+    events: DataFrame, kind: str, concept_id: str, date: str, text: str | None = None
 ) -> DataFrame:
-    """Events whose concept is in the set; with ``text``, its value must also fit the set's."""
-    matched = events.join(
-        broadcast_if_small(concepts, rules), events[concept_id] == concepts["concept_id"]
-    )
-    if text is None:
-        value, number = F.lit(" "), F.lit(None).cast("double")
-    else:
-        value, number = F.col(text), F.col("value_as_number").cast("double")
-        wanted, found = F.col("data_value"), value
-        if rules.normalize_values:
-            wanted, found = F.upper(F.rtrim(wanted)), F.upper(F.rtrim(found))
-        matched = matched.filter((F.col("data_value") == ANY_VALUE) | (wanted == found))
-    return matched.select(
-        "category",
-        F.col("gest_value").cast("double").alias("gest_value"),
+    """One domain in the common layout. Domains without ``text`` have no value to compare."""
+    value, number = F.lit(" "), F.lit(None)
+    if text is not None:
+        value, number = F.col(text), F.col("value_as_number")
+    return events.select(
         F.col("person_id").cast("long").alias("person_id"),
+        F.col(concept_id).alias("concept_id"),
         F.col(date).cast("date").alias("start_date"),
         F.lit(kind).alias("type"),
+        F.lit(text is not None).alias("has_value"),
         value.alias("value_as_string"),
-        number.alias("value_as_number"),
+        number.cast("double").alias("value_as_number"),
     )
 
 
-def match_conditions(cdm: Cdm, rules: Rules) -> DataFrame:
-    return _match(
-        cdm.condition_occurrence, cdm.pregnancy_concepts, rules,
-        "Cond", "condition_concept_id", "condition_start_date",
-    )
+def condition_records(cdm: Cdm) -> DataFrame:
+    return _records(
+        cdm.condition_occurrence, "Cond", "condition_concept_id", "condition_start_date"
+    )
 
 
-def match_procedures(cdm: Cdm, rules: Rules) -> DataFrame:
-    return _match(
-        cdm.procedure_occurrence, cdm.pregnancy_concepts, rules,
-        "Proc", "procedure_concept_id", "procedure_date",
-    )
+def procedure_records(cdm: Cdm) -> DataFrame:
+    return _records(cdm.procedure_occurrence, "Proc", "procedure_concept_id", "procedure_date")
 
 
-def match_observations(cdm: Cdm, rules: Rules) -> DataFrame:
-    return _match(
-        cdm.observation, cdm.pregnancy_concepts, rules,
-        "Obs", "observation_concept_id", "observation_date", text="value_as_string",
-    )
+def observation_records(cdm: Cdm) -> DataFrame:
+    return _records(
+        cdm.observation, "Obs", "observation_concept_id", "observation_date", "value_as_string"
+    )
 
 
-def match_measurements(cdm: Cdm, rules: Rules) -> DataFrame:
-    return _match(
-        cdm.measurement, cdm.pregnancy_concepts, rules,
-        "Meas", "measurement_concept_id", "measurement_date", text="value_source_value",
+def measurement_records(cdm: Cdm) -> DataFrame:
+    return _records(
+        cdm.measurement, "Meas", "measurement_concept_id", "measurement_date", "value_source_value"
+    )
+
+
+def match(records: DataFrame, cdm: Cdm, rules: Rules) -> DataFrame:
+    """Records whose concept is in the set; a record's value must fit where the set asks for one.
+
+    Without a required value in the set ('N/A'), any value fits.
+    """
+    concepts = cdm.pregnancy_concepts.select(
+        "concept_id", "category", F.col("gest_value").cast("double").alias("gest_value"), "data_value"
+    )
+    wanted, found = F.col("data_value"), F.col("value_as_string")
+    if rules.normalize_values:
+        wanted, found = F.upper(F.rtrim(wanted)), F.upper(F.rtrim(found))
+    fits = ~F.col("has_value") | (F.col("data_value") == ANY_VALUE) | (wanted == found)
+    return (
+        records.join(broadcast_if_small(concepts, rules), "concept_id")
+        .filter(fits)
+        .select(
+            "category", "gest_value", "person_id", "start_date", "type", "value_as_string",
+            "value_as_number",
+        )
     )
 
 
 def raw_events(cdm: Cdm, rules: Rules) -> DataFrame:
-    """Matched rows of the four non-drug domains, duplicates kept."""
-    return (
-        match_conditions(cdm, rules)
-        .unionByName(match_procedures(cdm, rules))
-        .unionByName(match_observations(cdm, rules))
-        .unionByName(match_measurements(cdm, rules))
+    """Matched rows of the four non-drug domains, duplicates kept, in one pass over the set."""
+    records = (
+        condition_records(cdm)
+        .unionByName(procedure_records(cdm))
+        .unionByName(observation_records(cdm))
+        .unionByName(measurement_records(cdm))
     )
+    return match(records, cdm, rules)
 
 
 def gestation_days(category: Column, recorded_weeks: Column, concept_weeks: Column) -> Column:

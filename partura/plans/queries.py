@@ -14,6 +14,7 @@ from partura.operators import starts as st
 from partura.operators import timeline as tl
 from partura.plans.pipeline import Study, study
 from partura.rules import Rules
+from partura.sources.cdm import Cdm
 from partura.sources.driver_tables import FIRST_PERSON, driver_cdm
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +49,10 @@ def accepted_with_gap(s: Study, spark: SparkSession) -> DataFrame:
     )
 
 
+def matched(s: Study, records: Callable[[Cdm], DataFrame]) -> DataFrame:
+    return tl.match(records(s.cdm), s.cdm, s.rules)
+
+
 # --- outcome selection --------------------------------------------------------------------------
 
 
@@ -94,10 +99,10 @@ def unnumbered(episodes: DataFrame, count: str | None = None) -> DataFrame:
 
 STUDY_QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "cdm_scan_counts": lambda s: s.cdm.scan_counts(),
-    "concept_match_condition": lambda s: tl.match_conditions(s.cdm, s.rules).select(*MATCHED),
-    "concept_match_procedure": lambda s: tl.match_procedures(s.cdm, s.rules).select(*MATCHED),
-    "concept_match_observation": lambda s: tl.match_observations(s.cdm, s.rules),
-    "concept_match_measurement": lambda s: tl.match_measurements(s.cdm, s.rules),
+    "concept_match_condition": lambda s: matched(s, tl.condition_records).select(*MATCHED),
+    "concept_match_procedure": lambda s: matched(s, tl.procedure_records).select(*MATCHED),
+    "concept_match_observation": lambda s: matched(s, tl.observation_records),
+    "concept_match_measurement": lambda s: matched(s, tl.measurement_records),
     "raw_events": lambda s: tl.raw_events(s.cdm, s.rules),
     "gest_days": lambda s: tl.with_gestation_days(tl.raw_events(s.cdm, s.rules)).select(
         "person_id", "category", "start_date", "gest_value"
