@@ -6,12 +6,13 @@ category, value), and only those counts are brought together by person.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date, to_day
 from partura.functions.joins import broadcast_if_small
-from partura.functions.runs import expand_runs, number_runs
+from partura.functions.runs import expand_runs
+from partura.functions.text import literal, one_of
 from partura.rules import Rules
 from partura.sources.cdm import Cdm
 
@@ -184,23 +185,28 @@ def event_runs(cdm: Cdm, rules: Rules, starts_only: bool = False) -> DataFrame:
 
 def eligible_runs(runs: DataFrame, rules: Rules, targets_only: bool = False) -> DataFrame:
     """Drop invalid gestations, people with screening rows only, and drugs of people without
-    any other event. With ``targets_only`` also drop people who have no outcome event."""
-    # The same sort serves these flags and the numbering that follows.
-    person = (
-        Window.partitionBy("person_id")
-        .orderBy(*RUN_ORDER)
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    category, coded = F.col("category"), F.col("n_coded") > 0
-    valid = (category != "GEST") | F.col("gest_value").isNotNull()
-    keep = F.bool_or(coded & (category != rules.screening_category)).over(person)
-    keep &= F.bool_or(coded & valid).over(person)
+    any other event, and number the rest: ``event_id`` is the number of a run's first event.
+
+    With ``targets_only`` also drop people who have no outcome event. All of it shares one sort:
+    a kept person keeps every valid run, so valid runs can be numbered before people are dropped.
+    """
+    valid = "(category <> 'GEST' OR gest_value IS NOT NULL)"
+    order = f"PARTITION BY person_id ORDER BY {', '.join(RUN_ORDER)} ROWS BETWEEN"
+    everywhere = f"OVER ({order} UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    so_far = f"OVER ({order} UNBOUNDED PRECEDING AND CURRENT ROW)"
+    needs = [f"n_coded > 0 AND category <> {literal(rules.screening_category)}",
+             f"n_coded > 0 AND {valid}"]
     if targets_only:
-        keep &= F.bool_or(category.isin(*rules.targets)).over(person)
+        needs.append(one_of("category", rules.targets))
+    keep = " AND ".join(f"bool_or({need}) {everywhere}" for need in needs)
     return (
-        runs.withColumn("keep", keep)
-        .filter(F.col("keep") & valid)
-        .withColumn("n_events", F.col("n_coded") + F.col("n_drug"))
+        runs.selectExpr("*", "n_coded + n_drug AS n_events")
+        .selectExpr(
+            "*",
+            f"{keep} AS keep",
+            f"sum(IF({valid}, n_events, 0)) {so_far} - n_events + 1 AS event_id",
+        )
+        .filter(f"keep AND {valid}")
         .drop("keep")
     )
 
@@ -208,11 +214,9 @@ def eligible_runs(runs: DataFrame, rules: Rules, targets_only: bool = False) ->
 def numbered_runs(
     cdm: Cdm, rules: Rules, starts_only: bool = False, targets_only: bool = False
 ) -> DataFrame:
-    """The timeline as runs: ``event_id`` is the number of a run's first event."""
+    """The timeline as runs: person, day, category, value, count and first event number."""
     runs = eligible_runs(event_runs(cdm, rules, starts_only), rules, targets_only)
-    return number_runs(
-        runs.drop("n_coded", "n_drug"), "person_id", RUN_ORDER, "n_events", "event_id"
-    )
+    return runs.drop("n_coded", "n_drug")
 
 
 # --- the same steps as rows ---------------------------------------------------------------------
