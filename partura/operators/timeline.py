@@ -29,17 +29,15 @@ def _records(
     events: DataFrame, kind: str, concept_id: str, date: str, text: str | None = None
 ) -> DataFrame:
     """One domain in the common layout. Domains without ``text`` have no value to compare."""
-    value, number = F.lit(" "), F.lit(None)
-    if text is not None:
-        value, number = F.col(text), F.col("value_as_number")
-    return events.select(
-        F.col("person_id").cast("long").alias("person_id"),
-        F.col(concept_id).alias("concept_id"),
-        F.col(date).cast("date").alias("start_date"),
-        F.lit(kind).alias("type"),
-        F.lit(text is not None).alias("has_value"),
-        value.alias("value_as_string"),
-        number.cast("double").alias("value_as_number"),
+    value, number = ("' '", "NULL") if text is None else (text, "value_as_number")
+    return events.selectExpr(
+        "CAST(person_id AS BIGINT) AS person_id",
+        f"{concept_id} AS concept_id",
+        f"CAST({date} AS DATE) AS start_date",
+        f"'{kind}' AS type",
+        f"{str(text is not None).lower()} AS has_value",
+        f"{value} AS value_as_string",
+        f"CAST({number} AS DOUBLE) AS value_as_number",
     )
 
 

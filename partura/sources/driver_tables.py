@@ -6,10 +6,10 @@ chooses the table, its part the concept, its ship date the day within four years
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from partura.functions.inline import inline_table
+from partura.functions.text import listed
 from partura.sources.cdm import CONCEPT_SET_SCHEMA, Cdm
 
 FIRST_PERSON = 1_000_001
@@ -78,86 +78,71 @@ def driver_cdm(spark: SparkSession, sf_dir: str, first_person: int = FIRST_PERSO
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    first_day = F.unix_date(F.lit(FIRST_DAY).cast("date"))
     orders = read("orders").select("o_orderkey", "o_custkey")
-    customer = read("customer").select("c_custkey")
     lines = read("lineitem")
+    customer = read("customer")
+    day_0 = f"unix_date(DATE '{FIRST_DAY}')"
+    day = f"date_from_unix_date({day_0} + (unix_date(CAST(l_shipdate AS DATE)) - {day_0}) % {DAYS})"
+
+    def records(numbers: str, concept: str, concept_id: str, date: str, *values: str) -> DataFrame:
+        own = lines.filter(f"l_linenumber IN ({numbers})")
+        return own.join(orders, own["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+            f"o_custkey + {first_person} AS person_id",
+            f"CAST({concept} AS INT) AS {concept_id}",
+            f"{day} AS {date}",
+            *values,
+        )
 
-    def records(numbers: tuple[int, ...], *columns: Column) -> DataFrame:
-        own = lines.filter(F.col("l_linenumber").isin(*numbers))
-        return own.join(orders, own["l_orderkey"] == orders["o_orderkey"]).select(*columns)
-
-    person = (F.col("o_custkey") + first_person).alias("person_id")
-    offset = (F.unix_date(F.col("l_shipdate").cast("date")) - first_day) % DAYS
-    day = F.date_from_unix_date(first_day + offset)
-    screening_only = F.col("o_custkey") % 50 == 7
-
-    def concept(base: int, cycle: int, screening: int) -> Column:
-        own = (base + F.col("l_partkey") % cycle).cast("int")
-        return F.when(screening_only, F.lit(screening)).otherwise(own)
-
-    drug = (F.col("p_partkey") % 40).cast("int")
-    drugs = read("part").select(drug.alias("j")).distinct()
-    klass = F.element_at(F.array(*[F.lit(c) for c in DRUG_CLASS_CYCLE]), F.col("j") % 6 + 1)
-
-    customer_id = F.col("c_custkey")
-    member = (customer_id + first_person).alias("person_id")
-    first, last = "observation_period_start_date", "observation_period_end_date"
-
-    def date(text: str) -> Column:
-        return F.lit(text).cast("date")
+    def coded(base: int, cycle: int, screening: int) -> str:
+        return f"IF(o_custkey % 50 = 7, {screening}, {base} + l_partkey % {cycle})"
 
-    two = F.array(
-        F.struct(date("1995-01-01").alias(first), date("1996-12-31").alias(last)),
-        F.struct(date("1997-01-01").alias(first), date("1998-12-31").alias(last)),
+    drugs = read("part").selectExpr("CAST(p_partkey % 40 AS INT) AS j").distinct()
+    two = (
+        "array(struct(DATE '1995-01-01' AS first, DATE '1996-12-31' AS last), "
+        "struct(DATE '1997-01-01' AS first, DATE '1998-12-31' AS last))"
     )
-    one = F.array(
-        F.struct(
-            F.date_add(date("1995-01-01"), (customer_id % 200).cast("int")).alias(first),
-            F.date_sub(date("1998-12-31"), (customer_id % 150).cast("int")).alias(last),
-        )
+    one = (
+        "array(struct(date_add(DATE '1995-01-01', CAST(c_custkey % 200 AS INT)) AS first, "
+        "date_sub(DATE '1998-12-31', CAST(c_custkey % 150 AS INT)) AS last))"
     )
-    periods = F.when(customer_id % 10 == 0, two).otherwise(one)
-
+    member = f"c_custkey + {first_person} AS person_id"
     return Cdm(
         condition_occurrence=records(
-            (1, 2), person, concept(1000, 20, 0).alias("condition_concept_id"),
-            day.alias("condition_start_date"),
+            "1, 2", coded(1000, 20, 0), "condition_concept_id", "condition_start_date"
         ),
         procedure_occurrence=records(
-            (3,), person, concept(2000, 12, 0).alias("procedure_concept_id"),
-            day.alias("procedure_date"),
+            "3", coded(2000, 12, 0), "procedure_concept_id", "procedure_date"
         ),
         observation=records(
-            (4,), person, concept(3000, 6, 3003).alias("observation_concept_id"),
-            day.alias("observation_date"), F.col("l_returnflag").alias("value_as_string"),
-            F.col("l_quantity").alias("value_as_number"),
+            "4", coded(3000, 6, 3003), "observation_concept_id", "observation_date",
+            "l_returnflag AS value_as_string", "l_quantity AS value_as_number",
         ),
         measurement=records(
-            (5,), person, concept(4000, 6, 0).alias("measurement_concept_id"),
-            day.alias("measurement_date"), F.col("l_linestatus").alias("value_source_value"),
-            F.col("l_quantity").alias("value_as_number"),
+            "5", coded(4000, 6, 0), "measurement_concept_id", "measurement_date",
+            "l_linestatus AS value_source_value", "l_quantity AS value_as_number",
         ),
         drug_exposure=records(
-            (6, 7), person, (5000 + F.col("l_partkey") % 40).cast("int").alias("drug_concept_id"),
-            day.alias("drug_exposure_start_date"),
+            "6, 7", "5000 + l_partkey % 40", "drug_concept_id", "drug_exposure_start_date"
         ),
-        concept=drugs.select(
-            (5000 + F.col("j")).alias("concept_id"),
-            F.concat(F.lit("drug "), F.col("j").cast("string")).alias("concept_name"),
-            klass.alias("concept_class_id"),
+        concept=drugs.selectExpr(
+            "5000 + j AS concept_id",
+            "concat('drug ', j) AS concept_name",
+            f"element_at(array({listed(DRUG_CLASS_CYCLE)}), j % 6 + 1) AS concept_class_id",
         ),
-        concept_ancestor=drugs.filter("j < 30").select(
-            (9001 + F.col("j") % 3).alias("ancestor_concept_id"),
-            (5000 + F.col("j")).alias("descendant_concept_id"),
+        concept_ancestor=drugs.filter("j < 30").selectExpr(
+            "9001 + j % 3 AS ancestor_concept_id", "5000 + j AS descendant_concept_id"
         ),
-        observation_period=customer.select(member, F.explode(periods).alias("p")).select(
-            "person_id", "p.*"
+        observation_period=customer.selectExpr(
+            member, f"explode(IF(c_custkey % 10 = 0, {two}, {one})) AS p"
+        ).selectExpr(
+            "person_id",
+            "p.first AS observation_period_start_date",
+            "p.last AS observation_period_end_date",
         ),
-        person=customer.select(
+        person=customer.selectExpr(
             member,
-            F.when(customer_id % 8 == 0, 8507).otherwise(8532).alias("gender_concept_id"),
-            (1935 + (7 * customer_id) % 55).cast("int").alias("year_of_birth"),
+            "IF(c_custkey % 8 = 0, 8507, 8532) AS gender_concept_id",
+            "CAST(1935 + (7 * c_custkey) % 55 AS INT) AS year_of_birth",
         ),
         pregnancy_concepts=concept_set(spark),
     )

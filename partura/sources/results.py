@@ -32,13 +32,22 @@ def load_lookups(spark: SparkSession, schema: str) -> Lookups:
     return Lookups.from_frames(*[spark.table(f"{schema}.{name}") for name in LOOKUP_TABLES])
 
 
+def _buckets(spark: SparkSession, table: str) -> int | None:
+    rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").take(1)
+    return int(rows[0]["data_type"]) if rows else None
+
+
 def write_episodes(episodes: DataFrame, table: str, mode: str = "append") -> None:
     """Append by default, so a second run adds its rows again; ``overwrite`` replaces them.
 
-    ``insertInto`` keeps the table's own definition, its buckets included.
+    ``insertInto`` keeps the table's own definition. Rows of a bucketed table are first brought
+    together by bucket, so that a bucket is one file and not one per task.
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
+    buckets = _buckets(episodes.sparkSession, table)
+    if buckets:
+        episodes = episodes.repartition(buckets, "person_id")
     episodes.write.insertInto(table, overwrite=mode == "overwrite")
 
 

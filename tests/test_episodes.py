@@ -236,12 +236,14 @@ def test_tables(spark, tmp_path, buckets):
         results.init(spark, schema, buckets=buckets)
         table = f"{schema}.{results.RESULT_TABLE}"
         assert spark.table(table).count() == 0
-        cdm = clinic(spark, [(1, END, "LB"), (1, END, "FT")])
+        cdm = clinic(spark, [(p, END, c) for p in range(1, 21) for c in ("LB", "FT")])
         run(spark, cdm, table, results.load_lookups(spark, schema))
         run(spark, cdm, table)
-        assert spark.table(table).count() == 2
+        assert spark.table(table).count() == 40
         run(spark, cdm, table, mode="overwrite")
-        assert spark.table(table).count() == 1
+        assert spark.table(table).count() == 20
+        if buckets:
+            assert len(spark.table(table).inputFiles()) == buckets
         with pytest.raises(ValueError):
             run(spark, cdm, table, mode="merge")
         results.clean(spark, schema)
