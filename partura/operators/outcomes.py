@@ -146,7 +146,7 @@ def accept(lookups: Lookups, rules: Rules) -> str:
     """Greedy choice over one person's ``candidates``, as an array of those kept."""
     conflict = f"exists(kept, one -> {too_close('one', 'cand', lookups, rules)})"
     keep = f"(kept, cand) -> IF({conflict}, kept, concat(kept, array(cand)))"
-    return f"aggregate(array_sort(candidates), slice(candidates, 1, 0), {keep})"
+    return f"aggregate(sort_array(candidates), slice(candidates, 1, 0), {keep})"
 
 
 def people_with_accepted(

@@ -66,7 +66,7 @@ def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFram
     )
     return (
         people.selectExpr(
-            "*", f"array_sort(transform(accepted, o -> {struct(**own)})) AS outcomes"
+            "*", f"sort_array(transform(accepted, o -> {struct(**own)})) AS outcomes"
         )
         .selectExpr(
             "person_id",
