@@ -25,6 +25,7 @@ HEADLINE = (
     "episode_all_starts",
     "pregnancy_episodes",
 )
+WARM_RUNS = 2
 
 
 def session(cpus: str) -> SparkSession:
@@ -58,10 +59,13 @@ def main() -> None:
     spark = session(os.environ.get("BENCH_CPUS", "8"))
     queries = all_queries()
     first = {name: round(timed(spark, queries[name], sf_dir), 3) for name in HEADLINE}
-    warm = {name: round(timed(spark, queries[name], sf_dir), 3) for name in HEADLINE}
+    warm = {
+        name: round(min(timed(spark, queries[name], sf_dir) for _ in range(WARM_RUNS)), 3)
+        for name in HEADLINE
+    }
     spark.stop()
     report = {
-        "metric": "total warm seconds over headline queries",
+        "metric": "total seconds over headline queries, best warm run of each",
         "value": round(sum(warm.values()), 3),
         "unit": "sec",
         "queries": warm,
