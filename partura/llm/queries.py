@@ -114,8 +114,8 @@ WITH RECURSIVE u AS (
   SELECT vec_id, row_number() OVER () AS rid, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
 ), ok AS (
   SELECT * FROM u
-  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(v, x -> x <> 0)) > 0
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
 ), link AS (
   SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid AND len(a.v) = len(b.v)
   WHERE list_cosine_similarity(a.v, b.v) >= 0.95
@@ -164,15 +164,15 @@ WITH RECURSIVE w AS (
   ) AS w FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, unnest(
-    CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> list_aggregate(w[i:i+4], 'string_agg', ' '))
+    CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i+4], 'string_agg', ' '))
     WHEN len(w) > 0 THEN [list_aggregate(w, 'string_agg', ' ')] ELSE [] END
   ) AS s FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 link AS (
   SELECT a, b FROM (
-    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id
     GROUP BY 1, 2
-  ) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * both >= 75 * (p.n + q.n - both)
+  ) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * shared >= 75 * (p.n + q.n - shared)
 ), reach(a, b) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
 ), c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
