@@ -20,6 +20,7 @@ from partura.llm.fingerprints import SPACE, words
 from partura.llm.storage import Workspace
 
 MIN_WORDS = 50
+BROADCAST_DOCS = 500_000  # changed documents whose places are sent to all texts; beyond, texts are joined by shuffle
 AT = ["d", "h", "i"]  # document, hash of its text, number of the line among those not blank
 FIRST = ["fd", "fh", "fi"]
 
@@ -154,6 +155,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, ws: Workspace | Non
         by_doc = runs.groupBy("d", "h").agg(
             F.sort_array(F.collect_list(F.struct(F.col("i").alias("line"), F.col("n").alias("lines")))).alias("spans")
         )
+        by_doc = ws.save(by_doc, "spans")
+        by_doc = F.broadcast(by_doc) if by_doc.count() <= BROADCAST_DOCS else by_doc
         at = (F.coalesce(base["doc_id"].cast("long"), F.lit(-(1 << 63))) == by_doc["d"]) & (
             F.xxhash64(base["text"].cast("string")) == by_doc["h"]
         )
