@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from partura.llm.shipping import map_arrow
 from partura.llm.words import chunks, mix, word_hashes
 
-LABELLED = 8_000  # labelled documents to learn from, at most
-UNLABELLED = 4_000  # documents without a label that views may teach each other, at most
+LABELLED = 4_000  # labelled documents to learn from, at most
+UNLABELLED = 2_000  # documents without a label that views may teach each other, at most
 ROUNDS = 3
 SURE = 0.98  # how probable a label must be to one view to be taught to the other
 PSEUDO_WEIGHT = 0.5
@@ -112,13 +112,13 @@ def meta_features(table: pa.RecordBatch | pa.Table, columns: list[str]) -> Rows:
             values = [("\0" if v is None else "\1" + v).encode() for v in column.to_pylist()]
             known = {v: int.from_bytes(v[:6] + bytes([len(v) % 256]), "big") * 31 + sum(v) for v in set(values)}
             codes = mix(np.array([known[v] % (1 << 63) for v in values], np.uint64) + np.uint64(k))
-            rows.append(np.arange(n)), cells.append((codes % np.uint64(META)).astype(np.int64))
+            rows.append(np.arange(n, dtype=np.int32)), cells.append((codes % np.uint64(META)).astype(np.int32))
         else:
             v = np.array([np.nan if x is None else float(x) for x in column.to_pylist()], float)
             known_v = np.isfinite(v)
             dense += [np.where(known_v, np.sign(v) * np.log1p(np.abs(np.where(known_v, v, 0))), 0) / 8, ~known_v]
     stack = np.column_stack(dense).astype(float) if dense else np.zeros((n, 0))
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
     return Rows(n, np.concatenate(rows) if rows else none, np.concatenate(cells) if cells else none, stack)
 
 
@@ -239,7 +239,7 @@ def co_train(text: Rows, meta: Rows, y: np.ndarray, free_text: Rows, free_meta:
             more, labels = x.take(sure), (p[sure] >= 0.5).astype(float)
             both = Rows(
                 base.n + more.n,
-                np.concatenate([base.rows, more.rows + base.n]),
+                np.concatenate([base.rows, more.rows + np.int32(base.n)]),
                 np.concatenate([base.columns, more.columns]),
                 np.vstack([base.dense, more.dense]),
             )
@@ -253,19 +253,26 @@ def _join_rows(parts: list[Rows]) -> Rows:
     starts = np.cumsum([0, *[p.n for p in parts]])
     return Rows(
         int(starts[-1]),
-        np.concatenate([p.rows + s for p, s in zip(parts, starts)]),
+        np.concatenate([p.rows + np.int32(s) for p, s in zip(parts, starts)]),
         np.concatenate([p.columns for p in parts]),
         np.vstack([p.dense for p in parts]),
     )
 
 
 def _empty(width: int) -> Rows:
-    return Rows(0, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, width)))
+    return Rows(0, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros((0, width)))
 
 
 def _features(table: pa.Table, columns: list[str]) -> tuple[Rows, Rows]:
     table = table.combine_chunks()
-    parts = [r for c in table.column("text").chunks for r in text_features(c)]
+    texts = table.column("text").chunks
+    # Features of one or two texts teach nothing and are most of them: counted first, then left out, to hold less.
+    seen = np.zeros(1 << BITS, np.int32)
+    for c in texts if table.num_rows > 60 else ():
+        for r in text_features(c):
+            seen += np.bincount(r.columns, minlength=1 << BITS).astype(np.int32)
+    often = seen >= 3 if table.num_rows > 60 else np.ones(1 << BITS, bool)
+    parts = [r.only(often) for c in texts for r in text_features(c)]
     meta = meta_features(table, columns)
     return (_join_rows(parts) if parts else _empty(SHAPES)), meta
 
