@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 DIR = "spark.checkpoint.dir"
+_own: dict[str, str] = {}  # folders of local sessions that name none, by application
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -16,8 +17,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not found:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError(f"set {DIR} to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="partura-")
-        spark.conf.set(DIR, found)
+        app = spark.sparkContext.applicationId
+        if app not in _own:
+            _own[app] = "file://" + tempfile.mkdtemp(prefix="partura-")
+        found = _own[app]
     return found.rstrip("/")
 
 
