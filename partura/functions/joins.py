@@ -20,11 +20,11 @@ def broadcast_if_small(df: DataFrame, rules: Rules) -> DataFrame:
     """Hint a broadcast only when the size is proven; else leave a shuffle join, split by AQE.
 
     The plan estimate is free. Where it is too coarse (a join's estimate is the product of its
-    sides) one job counts the rows, reading no further than the bound.
+    sides) one job counts the rows, each task its own.
     """
     size = _estimated_bytes(df)
     if size is not None and size <= rules.broadcast_bytes:
         return F.broadcast(df)
-    if df.limit(rules.broadcast_rows + 1).count() <= rules.broadcast_rows:
+    if df.count() <= rules.broadcast_rows:
         return F.broadcast(df)
     return df

@@ -17,6 +17,7 @@ from partura.rules import Rules
 from partura.sources.cdm import Cdm
 
 ANY_VALUE = "N/A"
+FAR_DAYS = 10_000_000  # beyond any date
 RUN_KEYS = ["person_id", "day", "category", "gest_value"]
 # Ascending order puts nulls first.
 RUN_ORDER = ["day", "category", "gest_value"]
@@ -74,7 +75,7 @@ def match(records: DataFrame, cdm: Cdm, rules: Rules) -> DataFrame:
     wanted, found = F.col("data_value"), F.col("value_as_string")
     if rules.normalize_values:
         wanted, found = F.upper(F.rtrim(wanted)), F.upper(F.rtrim(found))
-    fits = ~F.col("has_value") | (F.col("data_value") == ANY_VALUE) | (wanted == found)
+    fits = ~F.col("has_value") | (wanted == ANY_VALUE) | (wanted == found)
     return (
         records.join(broadcast_if_small(concepts, rules), "concept_id")
         .filter(fits)
@@ -149,7 +150,9 @@ def match_drugs(cdm: Cdm, rules: Rules) -> DataFrame:
 # --- counting -----------------------------------------------------------------------------------
 
 
-def event_runs(cdm: Cdm, rules: Rules, starts_only: bool = False) -> DataFrame:
+def event_runs(
+    cdm: Cdm, rules: Rules, starts_only: bool = False, drugs: bool = True
+) -> DataFrame:
     """Counted events per (person, day, category, value), with drug and other rows apart.
 
     A gestation that is missing or too long becomes null, which marks it as invalid. With
@@ -165,16 +168,21 @@ def event_runs(cdm: Cdm, rules: Rules, starts_only: bool = False) -> DataFrame:
         F.when(F.col("gest_value") <= limit, F.col("gest_value")).alias("gest_value"),
         F.lit(False).alias("is_drug"),
     )
-    drugs = match_drugs(cdm, rules).select(
-        "person_id",
-        to_day(F.col("start_date")).alias("day"),
-        "category",
-        "gest_value",
-        F.lit(True).alias("is_drug"),
-    )
-    events = coded.unionByName(drugs).filter(F.col("category").isNotNull())
+    events = coded
+    if drugs:
+        matched = match_drugs(cdm, rules).select(
+            "person_id",
+            to_day(F.col("start_date")).alias("day"),
+            "category",
+            "gest_value",
+            F.lit(True).alias("is_drug"),
+        )
+        events = coded.unionByName(matched)
+    events = events.filter(F.col("category").isNotNull())
     if starts_only:
-        shift = F.when(F.col("category") == "GEST", (1 - F.col("gest_value")).cast("int"))
+        # A start far after its record is no evidence for any outcome, but the record still counts.
+        days = F.least(1 - F.col("gest_value"), F.lit(float(FAR_DAYS))).cast("int")
+        shift = F.when(F.col("category") == "GEST", days)
         events = events.withColumn("gest_value", shift)
     return events.groupBy(*RUN_KEYS).agg(
         F.count_if(~F.col("is_drug")).alias("n_coded"), F.count_if("is_drug").alias("n_drug")
@@ -228,7 +236,8 @@ def _rows(runs: DataFrame, count: str, date: str) -> DataFrame:
 
 
 def nondrug_events(cdm: Cdm, rules: Rules) -> DataFrame:
-    return _rows(eligible_runs(event_runs(cdm, rules), rules), "n_coded", "start_date")
+    """Whether a person and a coded event stay depends on coded events alone, so no drug is read."""
+    return _rows(eligible_runs(event_runs(cdm, rules, drugs=False), rules), "n_coded", "start_date")
 
 
 def drug_events(cdm: Cdm, rules: Rules) -> DataFrame:

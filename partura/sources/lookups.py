@@ -52,9 +52,6 @@ GESTATION_ROWS = {
 # The row numbers of the gap table leave out these two.
 SKIPPED_LIMIT_IDS = (9, 10)
 
-# Lookups go into plans as literals, so their size is checked when they are read.
-MAX_LOOKUP_ROWS = 1000
-
 
 def _default_gaps() -> dict[tuple[str, str], int]:
     return {
@@ -94,21 +91,24 @@ class Lookups:
     def from_frames(
         cls, outcome_limit: DataFrame, term_durations: DataFrame, gest_est: DataFrame
     ) -> "Lookups":
-        """Read lookups from tables; each may hold at most ``MAX_LOOKUP_ROWS`` rows."""
+        """Read lookups from tables, one row per outcome type or pair of them; a second one raises."""
 
-        def rows(df: DataFrame) -> list:
-            found = df.take(MAX_LOOKUP_ROWS + 1)
-            if len(found) > MAX_LOOKUP_ROWS:
-                raise ValueError(f"lookup table has more than {MAX_LOOKUP_ROWS} rows")
-            return found
+        def rows(df: DataFrame, *keys: str) -> list:
+            twice = df.groupBy(*keys).count().filter("count > 1").drop("count").take(1)
+            if twice:
+                raise ValueError(f"lookup table has more than one row for {tuple(twice[0])}")
+            return df.collect()
 
         return cls(
             {
                 (r.first_preg_category, r.outcome_preg_category): r.min_days
-                for r in rows(outcome_limit)
+                for r in rows(outcome_limit, "first_preg_category", "outcome_preg_category")
+            },
+            {r.category: (r.max_term, r.min_term, r.retry) for r in rows(term_durations, "category")},
+            {
+                r.category: (r.preterm, r.postterm, r.fullterm, r.nodata)
+                for r in rows(gest_est, "category")
             },
-            {r.category: (r.max_term, r.min_term, r.retry) for r in rows(term_durations)},
-            {r.category: (r.preterm, r.postterm, r.fullterm, r.nodata) for r in rows(gest_est)},
         )
 
     @classmethod
