@@ -57,8 +57,8 @@ def _target(cells: DataFrame, margin: str, goal: float | dict[str, float]) -> Da
     else:
         own = cells.groupBy(f"_{margin}").agg(F.sum("tokens").cast("double").alias("n"))
         share = own.select(f"_{margin}", F.pow("n", F.lit(float(goal))).alias("t"))
-    all_rows = share.agg(F.sum("t").alias("all"))
-    return share.crossJoin(F.broadcast(all_rows)).select(f"_{margin}", (F.col("t") / F.col("all")).alias(f"t_{margin}"))
+    total = share.agg(F.sum("t").alias("all")).first()["all"] or 1.0
+    return share.select(f"_{margin}", (F.col("t") / total).alias(f"t_{margin}"))
 
 
 def rake(
