@@ -465,6 +465,17 @@ FINAL = {
     "lookup_gest_est": """
         SELECT category, person_id, event_id, preterm, postterm, fullterm, nodata
         FROM heads JOIN gestation USING (category)""",
+    "lookup_outcome_limit_use": """
+        SELECT first_cat AS prior_category, later_cat AS category, min_days,
+               (SELECT count(*) FROM valid v JOIN prior p USING (person_id, event_id)
+                WHERE p.prior_category = first_cat AND v.category = later_cat) AS n_outcomes
+        FROM limits""",
+    **{
+        f"lookup_{name}_use": f"""
+            SELECT t.*, (SELECT count(*) FROM valid v WHERE v.category = t.category) AS n_outcomes
+            FROM {cte} t"""
+        for name, cte in (("term_durations", "terms"), ("gest_est", "gestation"))
+    },
     **{
         f"start_{name}": f"SELECT * FROM s_{cte}"
         for name, cte in [

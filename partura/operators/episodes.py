@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date, to_day
-from partura.functions.runs import expand_runs, number_runs
 from partura.operators.starts import with_starts
 from partura.rules import Rules
 from partura.sources.cdm import Cdm
@@ -57,15 +56,11 @@ def best_episodes(picks: DataFrame, rules: Rules) -> DataFrame:
 
 
 def enrolled(episodes: DataFrame, cdm: Cdm) -> DataFrame:
-    """Episodes inside an observation period; ``n_rows`` counts equal periods that hold one."""
-    periods = (
-        cdm.observation_period.select(
-            F.col("person_id").cast("long").alias("person_id"),
-            to_day(F.col("observation_period_start_date")).alias("from_day"),
-            to_day(F.col("observation_period_end_date")).alias("to_day"),
-        )
-        .groupBy("person_id", "from_day", "to_day")
-        .agg(F.count("*").alias("n_rows"))
+    """Episodes inside an observation period, once for each period that holds one."""
+    periods = cdm.observation_period.select(
+        F.col("person_id").cast("long").alias("person_id"),
+        to_day(F.col("observation_period_start_date")).alias("from_day"),
+        to_day(F.col("observation_period_end_date")).alias("to_day"),
     )
     inside = (F.col("from_day") <= F.least("start_day", "end_day")) & (
         F.col("end_day") <= F.col("to_day")
@@ -85,7 +80,8 @@ def eligible(episodes: DataFrame, cdm: Cdm, rules: Rules) -> DataFrame:
 def numbered(episodes: DataFrame) -> DataFrame:
     """Episode number per person by start; equal rows take consecutive numbers."""
     order = ["start_day", "end_day", "outcome_category", "to_day", "from_day"]
-    return number_runs(episodes, "person_id", order, "n_rows", "episode")
+    by_start = Window.partitionBy("person_id").orderBy(*order)
+    return episodes.withColumn("episode", F.row_number().over(by_start))
 
 
 def with_two_events(episodes: DataFrame) -> DataFrame:
@@ -103,28 +99,26 @@ def phenotype(outcome: Column, length: Column, rules: Rules) -> Column:
 
 
 def episode_rows(episodes: DataFrame) -> DataFrame:
-    """Numbered episodes written out as rows, without the phenotype."""
-    rows = expand_runs(episodes, ["person_id", "episode"], "n_rows", "episode")
-    return rows.select(
+    """Numbered episodes without the phenotype."""
+    return episodes.select(
         "person_id",
         to_date(F.col("start_day")).alias("episode_start_date"),
         to_date(F.col("end_day")).alias("episode_end_date"),
         "start_category",
         "outcome_category",
-        F.col("episode").cast("int").alias("episode"),
+        "episode",
     )
 
 
 def final_episodes(episodes: DataFrame, rules: Rules) -> DataFrame:
     length = F.col("end_day") - F.col("start_day") + 1
-    rows = expand_runs(episodes, ["person_id", "episode"], "n_rows", "episode")
-    return rows.select(
+    return episodes.select(
         "person_id",
         to_date(F.col("start_day")).alias("episode_start_date"),
         to_date(F.col("end_day")).alias("episode_end_date"),
         F.col("start_category").alias("start_method"),
         F.col("outcome_category").alias("original_outcome"),
-        F.col("episode").cast("int").alias("episode"),
+        "episode",
         phenotype(F.col("outcome_category"), length, rules).alias("outcome"),
         length.alias("episode_length"),
     )

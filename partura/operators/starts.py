@@ -121,20 +121,27 @@ def start_from_borrowed_prior(rows: DataFrame, rule: StartRule, rules: Rules) ->
     should compare persons. An outcome numbered k is thereby bounded by the prior outcome of
     event k of person k, and has no such start where person k has no outcome numbered k.
 
-    Those few rows are copied to every lane; all others sit in the one lane their person falls
-    in, since event numbers are small and a single one can hold a large share of all outcomes.
+    At most one row per event number lends; those few are copied to every lane. Of the others only
+    rows with such evidence meet them, in the one lane their person falls in, since event numbers
+    are small and a single one can hold a large share of all outcomes. A row without it could get
+    nothing and is keyed by its person alone. There are as many lanes as shuffle partitions, a
+    number that is set to fit the data.
     """
-    own_lane = f"pmod(hash(person_id), {rules.lanes})"
+    n_lanes = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lends = "person_id = event_id"
-    lanes = f"IF({lends}, sequence(0, {rules.lanes - 1}), array({own_lane}))"
+    meets = f"({lends} OR size({rule.name}) > 0)"
+    own_lane = f"IF({meets}, pmod(hash(person_id), {n_lanes}), person_id)"
+    lanes = f"IF({lends}, sequence(0L, {n_lanes - 1}L), array({own_lane}))"
+    key = f"IF({meets}, event_id, -1)"
     lent = struct(found="true", prior_day="prior_day")
     near = f"filter({rule.name}, start -> start BETWEEN earliest AND hi)"
     late = f"filter({rule.name}, start -> start >= greatest(lent.prior_day + retry, earliest))"
     others = [c for c in rows.columns if c != rule.name]
     return (
-        rows.selectExpr(*others, f"{near} AS {rule.name}", f"explode_outer({lanes}) AS lane")
+        rows.selectExpr(*others, f"{near} AS {rule.name}")
+        .selectExpr("*", f"{key} AS lane_key", f"explode_outer({lanes}) AS lane")
         .selectExpr(
-            "*", f"max(IF({lends}, {lent}, NULL)) OVER (PARTITION BY event_id, lane) AS lent"
+            "*", f"max(IF({lends}, {lent}, NULL)) OVER (PARTITION BY lane_key, lane) AS lent"
         )
         .filter(f"lane = {own_lane}")
         .selectExpr(*others, f"IF(lent.found, array_min({late}), NULL) AS {rule.name}")

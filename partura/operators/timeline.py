@@ -133,11 +133,18 @@ def drug_concepts(cdm: Cdm, rules: Rules) -> DataFrame:
     return drugs.select("concept_id", "concept_name").join(below, "concept_id")
 
 
-def match_drugs(cdm: Cdm, rules: Rules) -> DataFrame:
-    """Drug exposures to the expanded concepts; the concept's gestation value is passed as is."""
+def drug_dimension(cdm: Cdm, rules: Rules) -> DataFrame:
+    """The expanded concepts as drug exposures are joined with them. Its rows may be counted here."""
     concepts = drug_concepts(cdm, rules).select("concept_id", "category", "gest_value")
+    return broadcast_if_small(concepts, rules)
+
+
+def match_drugs(cdm: Cdm, rules: Rules, concepts: DataFrame | None = None) -> DataFrame:
+    """Drug exposures to the expanded concepts; the concept's gestation value is passed as is."""
+    if concepts is None:
+        concepts = drug_dimension(cdm, rules)
     return cdm.drug_exposure.join(
-        broadcast_if_small(concepts, rules),
+        concepts,
         cdm.drug_exposure["drug_concept_id"] == concepts["concept_id"],
     ).select(
         F.col("person_id").cast("long").alias("person_id"),
@@ -151,7 +158,11 @@ def match_drugs(cdm: Cdm, rules: Rules) -> DataFrame:
 
 
 def event_runs(
-    cdm: Cdm, rules: Rules, starts_only: bool = False, drugs: bool = True
+    cdm: Cdm,
+    rules: Rules,
+    starts_only: bool = False,
+    drugs: bool = True,
+    concepts: DataFrame | None = None,
 ) -> DataFrame:
     """Counted events per (person, day, category, value), with drug and other rows apart.
 
@@ -170,7 +181,7 @@ def event_runs(
     )
     events = coded
     if drugs:
-        matched = match_drugs(cdm, rules).select(
+        matched = match_drugs(cdm, rules, concepts).select(
             "person_id",
             to_day(F.col("start_date")).alias("day"),
             "category",
@@ -180,15 +191,24 @@ def event_runs(
         events = coded.unionByName(matched)
     events = events.filter(F.col("category").isNotNull())
     if starts_only:
-        # A start far after its record is no evidence for any outcome, but the record still counts.
-        days = F.least(1 - F.col("gest_value"), F.lit(float(FAR_DAYS))).cast("int")
-        shift = F.when(F.col("category") == "GEST", days)
-        events = events.withColumn("gest_value", shift)
+        events = whole_days(events)
     return events.groupBy(*RUN_KEYS).agg(
         F.count_if(~F.col("is_drug")).alias("n_coded"), F.count_if("is_drug").alias("n_drug")
     )
 
 
+def whole_days(events: DataFrame) -> DataFrame:
+    """Put the days back to the start that a GEST record implies in place of its value.
+
+    A start far after its record is no evidence for any outcome, but the record still counts.
+    No value, the mark of an invalid record, stays none (``least`` alone would pass over it).
+    """
+    value = F.col("gest_value")
+    days = F.least(1 - value, F.lit(float(FAR_DAYS))).cast("int")
+    usable = (F.col("category") == "GEST") & value.isNotNull()
+    return events.withColumn("gest_value", F.when(usable, days))
+
+
 def eligible_runs(runs: DataFrame, rules: Rules, targets_only: bool = False) -> DataFrame:
     """Drop invalid gestations, people with screening rows only, and drugs of people without
     any other event, and number the rest: ``event_id`` is the number of a run's first event.
@@ -218,10 +238,15 @@ def eligible_runs(runs: DataFrame, rules: Rules, targets_only: bool = False) ->
 
 
 def numbered_runs(
-    cdm: Cdm, rules: Rules, starts_only: bool = False, targets_only: bool = False
+    cdm: Cdm,
+    rules: Rules,
+    starts_only: bool = False,
+    targets_only: bool = False,
+    concepts: DataFrame | None = None,
 ) -> DataFrame:
     """The timeline as runs: person, day, category, value, count and first event number."""
-    runs = eligible_runs(event_runs(cdm, rules, starts_only), rules, targets_only)
+    events = event_runs(cdm, rules, starts_only, concepts=concepts)
+    runs = eligible_runs(events, rules, targets_only)
     return runs.drop("n_coded", "n_drug")
 
 

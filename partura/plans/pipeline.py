@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,21 +24,44 @@ class Study:
     cdm: Cdm
     lookups: Lookups
     rules: Rules
+    # The settled runs in a table, as ``save`` leaves them.
+    saved: DataFrame | None = None
+
+    @cached_property
+    def drug_dimension(self) -> DataFrame:
+        """Drug concepts, whose size is checked once for all that is derived."""
+        return tl.drug_dimension(self.cdm, self.rules)
 
     @cached_property
     def numbered(self) -> DataFrame:
         """Everyone's timeline as runs."""
-        return tl.numbered_runs(self.cdm, self.rules)
+        return tl.numbered_runs(self.cdm, self.rules, concepts=self.drug_dimension)
 
     @cached_property
     def settled(self) -> DataFrame:
         """Everyone's timeline after date moves."""
+        if self.saved is not None:
+            return self.saved
         return oc.settled_runs(self.numbered, self.rules)
 
+    def save(self, table: str) -> "Study":
+        """Write the settled runs to ``table``, replacing it, and derive everything after them from it.
+
+        The clinical events are then read once however many results are written. The table holds
+        every column that later stages need and may be dropped when they are done.
+        """
+        self.settled.write.mode("overwrite").saveAsTable(table)
+        spark = self.settled.sparkSession
+        return replace(self, saved=spark.table(table))
+
     @cached_property
     def outcome_people(self) -> DataFrame:
         """Settled timeline of people with an outcome event, as the episodes need it."""
-        runs = tl.numbered_runs(self.cdm, self.rules, starts_only=True, targets_only=True)
+        if self.saved is not None:
+            return tl.whole_days(self.saved)
+        runs = tl.numbered_runs(
+            self.cdm, self.rules, starts_only=True, targets_only=True, concepts=self.drug_dimension
+        )
         return oc.settled_runs(runs, self.rules)
 
     @cached_property
@@ -72,7 +95,7 @@ class Study:
 
 @dataclass(frozen=True)
 class Episodes:
-    """Results; each is lazy and reads the inputs when it is written or collected."""
+    """Results; each is lazy and reads its inputs when it is written or collected."""
 
     episodes: DataFrame
     all_starts: DataFrame
@@ -86,11 +109,20 @@ def study(cdm: Cdm, lookups: Lookups | None = None, rules: Rules | None = None)
 
 
 def build_episodes(
-    cdm: Cdm, lookups: Lookups | None = None, rules: Rules | None = None
+    cdm: Cdm,
+    lookups: Lookups | None = None,
+    rules: Rules | None = None,
+    stage_table: str | None = None,
 ) -> Episodes:
     """Declare the derivation. Nothing runs here but, for vocabularies whose size the plan cannot
-    bound, one limited count."""
+    bound, one count.
+
+    With ``stage_table`` the timeline is written there first, once for all four results; without
+    it each result reads the clinical events when it is asked for.
+    """
     s = study(cdm, lookups, rules)
+    if stage_table is not None:
+        s = s.save(stage_table)
     return Episodes(
         episodes=ep.final_episodes(s.supported_episodes, s.rules),
         all_starts=ep.all_starts(s.picks, s.rules),
@@ -107,5 +139,10 @@ def run(
     rules: Rules | None = None,
     mode: str = "append",
 ) -> None:
-    """Derive the episodes and write them to ``table``."""
+    """Derive the episodes and write them to ``table``.
+
+    Without ``lookups`` those beside the result table are used where ``results.init`` wrote them.
+    """
+    if lookups is None:
+        lookups = results.find_lookups(spark, table.rpartition(".")[0])
     results.write_episodes(build_episodes(cdm, lookups, rules).episodes, table, mode)

@@ -49,6 +49,34 @@ def accepted_with_gap(s: Study, spark: SparkSession) -> DataFrame:
     )
 
 
+def lookup_use(s: Study, spark: SparkSession, name: str) -> DataFrame:
+    """Every row of a lookup table by outcome type, with the accepted outcomes that use it."""
+    table = s.lookups.frames(spark)[name].drop("gest_est_id")
+    used = oc.valid_outcomes(s.outcome_people, s.lookups, s.rules).groupBy("category")
+    return _with_counts(table, used.agg(F.count("*").alias("n_outcomes")), ["category"])
+
+
+def gap_use(s: Study, spark: SparkSession) -> DataFrame:
+    """Every minimum gap, with how often accepted outcomes of its types follow each other."""
+    table = s.lookups.frames(spark)["outcome_limit"].select(
+        F.col("first_preg_category").alias("prior_category"),
+        F.col("outcome_preg_category").alias("category"),
+        "min_days",
+    )
+    by_day = Window.partitionBy("person_id").orderBy("event_date")
+    pairs = ["prior_category", "category"]
+    used = (
+        oc.valid_outcomes(s.outcome_people, s.lookups, s.rules)
+        .withColumn("prior_category", F.lag("category").over(by_day))
+        .groupBy(*pairs)
+    )
+    return _with_counts(table, used.agg(F.count("*").alias("n_outcomes")), pairs)
+
+
+def _with_counts(table: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    return table.join(counts, keys, "left").fillna(0, ["n_outcomes"])
+
+
 def matched(s: Study, records: Callable[[Cdm], DataFrame]) -> DataFrame:
     return tl.match(records(s.cdm), s.cdm, s.rules)
 
@@ -67,12 +95,12 @@ def pool_rows(s: Study, target: str) -> DataFrame:
 
 
 def accepted(s: Study, target: str) -> DataFrame:
-    found = oc.valid_outcomes(s.settled, s.lookups, s.rules, through=target)
+    found = oc.valid_outcomes(s.outcome_people, s.lookups, s.rules, through=target)
     return found.filter(F.col("category") == target).select("person_id", "event_id")
 
 
 def all_accepted(s: Study) -> DataFrame:
-    return oc.valid_outcomes(s.settled, s.lookups, s.rules).select("person_id", "event_id")
+    return oc.valid_outcomes(s.outcome_people, s.lookups, s.rules).select("person_id", "event_id")
 
 
 def next_outcomes(s: Study) -> DataFrame:
@@ -84,10 +112,8 @@ def next_outcomes(s: Study) -> DataFrame:
 # --- episodes -----------------------------------------------------------------------------------
 
 
-def unnumbered(episodes: DataFrame, count: str | None = None) -> DataFrame:
-    """Episodes as rows without a number; with ``count`` one row per counted row."""
-    if count is not None:
-        episodes = tl.expand_runs(episodes, ["person_id", "end_day"], count)
+def unnumbered(episodes: DataFrame) -> DataFrame:
+    """Episodes as rows without a number."""
     return episodes.select(
         "person_id",
         to_date(F.col("start_day")).alias("episode_start_date"),
@@ -142,8 +168,8 @@ STUDY_QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "refined_start": lambda s: st.candidate_starts(s.picks, s.rules, "refined"),
     "episode_all_starts": lambda s: ep.all_starts(s.picks, s.rules),
     "episode_best": lambda s: unnumbered(s.best),
-    "episode_enrolled": lambda s: unnumbered(s.enrolled, "n_rows"),
-    "episode_eligible": lambda s: unnumbered(s.eligible, "n_rows"),
+    "episode_enrolled": lambda s: unnumbered(s.enrolled),
+    "episode_eligible": lambda s: unnumbered(s.eligible),
     "episode_numbered": lambda s: ep.episode_rows(s.numbered_episodes),
     "episode_two_events": lambda s: ep.episode_rows(s.supported_episodes),
     "pregnancy_episodes": lambda s: ep.final_episodes(s.supported_episodes, s.rules),
@@ -153,6 +179,9 @@ LOOKUP_QUERIES: dict[str, Callable[[Study, SparkSession], DataFrame]] = {
     "lookup_outcome_limit": accepted_with_gap,
     "lookup_term_durations": lambda s, spark: outcomes_with_lookup(s, spark, "term_durations"),
     "lookup_gest_est": lambda s, spark: outcomes_with_lookup(s, spark, "gest_est"),
+    "lookup_outcome_limit_use": gap_use,
+    "lookup_term_durations_use": lambda s, spark: lookup_use(s, spark, "term_durations"),
+    "lookup_gest_est_use": lambda s, spark: lookup_use(s, spark, "gest_est"),
 }
 
 # Query name, evidence, second-ovulation mode.

@@ -99,15 +99,22 @@ class Rules:
     # Compare concept data values ignoring case and trailing blanks.
     normalize_values: bool = False
     # Plan-size bound under which a dimension is broadcast, and the row bound that is counted
-    # (once, with a limit) when the plan estimate alone cannot prove it.
+    # (once) when the plan estimate alone cannot prove it.
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 500_000
-    # Lanes over which the rare person-id = event-number rows are replicated.
-    lanes: int = 64
 
     def __post_init__(self) -> None:
         if self.ovul2_join not in ("reference", "corrected"):
             raise ValueError(f"ovul2_join must be 'reference' or 'corrected', not {self.ovul2_join!r}")
+        # Confirmations are read from the unmoved timeline and rule-outs from the fully moved one.
+        moved: set[str] = set()
+        for step in self.steps:
+            if moved & set(step.confirmed_by):
+                raise ValueError(f"{step.target} is confirmed by a type that an earlier step moves")
+            if step.moved_by:
+                moved.add(step.target)
+        if moved & set(self.active_categories):
+            raise ValueError("active_categories must not hold a type that a step moves")
 
     @property
     def targets(self) -> tuple[str, ...]:

@@ -30,9 +30,15 @@ class Cdm:
 
     @classmethod
     def from_tables(
-        cls, spark: SparkSession, schema: str, pregnancy_concepts: DataFrame | None = None
+        cls,
+        spark: SparkSession,
+        schema: str,
+        pregnancy_concepts: DataFrame | None = None,
+        results_schema: str | None = None,
     ) -> "Cdm":
-        """Tables of a catalog schema; the concept set may live elsewhere."""
+        """Tables of a catalog schema; the concept set may be given or lie in the results schema."""
+        if pregnancy_concepts is None and results_schema is not None:
+            pregnancy_concepts = spark.table(f"{results_schema}.pregnancy_concepts")
         return cls._load(lambda name: spark.table(f"{schema}.{name}"), pregnancy_concepts)
 
     @classmethod

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import product
+from itertools import combinations_with_replacement, product
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,10 +73,12 @@ class Lookups:
         """Raise unless the tables keep accepted outcomes apart and evidence before its outcome.
 
         Start search assigns each record to the one outcome that follows it. That is exact when
-        no two accepted outcomes share a day (every gap is at least 2), a start lies after the
-        prior outcome (retry of at least 1) and not after its own (min_term of at least 0).
+        no two accepted outcomes share a day, a start lies after the prior outcome (retry of at
+        least 1) and not after its own (min_term of at least 0). Two outcomes can share a day only
+        where the gap from the type accepted first is under 2. Any other gap may be short, or
+        missing, which means that there is no conflict.
         """
-        for pair in product(targets, repeat=2):
+        for pair in combinations_with_replacement(targets, 2):
             if self.min_days.get(pair, 0) < 2:
                 raise ValueError(f"outcome_limit needs min_days >= 2 for {pair}")
         for target in targets:
@@ -149,7 +151,7 @@ class Lookups:
 
     def gap(self, targets: tuple[str, ...], first: str, later: str) -> str:
         """Minimum days between two outcomes given by their position in ``targets``."""
-        flat = listed(self.min_days[pair] for pair in product(targets, repeat=2))
+        flat = listed(self.min_days.get(pair) for pair in product(targets, repeat=2))
         return f"get(array({flat}), {first} * {len(targets)} + {later})"
 
     def term(self, column: str, category: str) -> str:

@@ -32,6 +32,14 @@ def load_lookups(spark: SparkSession, schema: str) -> Lookups:
     return Lookups.from_frames(*[spark.table(f"{schema}.{name}") for name in LOOKUP_TABLES])
 
 
+def find_lookups(spark: SparkSession, schema: str) -> Lookups | None:
+    """The lookups of a results schema, or None where it has none of the tables."""
+    schema = schema or spark.catalog.currentDatabase()
+    if not any(spark.catalog.tableExists(f"{schema}.{name}") for name in LOOKUP_TABLES):
+        return None
+    return load_lookups(spark, schema)
+
+
 def _buckets(spark: SparkSession, table: str) -> int | None:
     rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").take(1)
     return int(rows[0]["data_type"]) if rows else None

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks.oracle import all_oracles
 from partura import Lookups, Rules, build_episodes
 from partura.operators import timeline as tl
+from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
+from partura.rules import STEPS
+from partura.sources import results
+from partura.sources.driver_tables import driver_cdm
 from tests.clinic import CONCEPTS, clinic
+from tests.conftest import SMALL
 
 TYPES = "LB SB DELIV TRO ECT AB SA".split()
 GAPS = """
@@ -65,8 +72,66 @@ def test_an_absurd_gestation_ends_no_run(spark):
     assert tl.nondrug_events(cdm, Rules()).filter("category = 'GEST'").count() == 2
 
 
+def test_an_invalid_gestation_stays_out_of_whole_days(spark):
+    """A record of 44 weeks supports no outcome, whichever form of the timeline is used."""
+    s = study(clinic(spark, [(1, 0, "LB"), (1, -9, "GEST", 44.0)]))
+    for runs in (s.numbered, s.outcome_people):
+        assert [(r.category, r.event_id) for r in runs.collect()] == [("LB", 1)]
+
+
 def test_nondrug_events_read_no_drugs(spark):
     plan = tl.nondrug_events(clinic(spark, [(1, 0, "LB")], drugs=[(1, 0, "MTX")]), Rules())
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "drug" not in text and "ancestor" not in text
     assert "events_nondrug" in all_queries() and "events_nondrug" in all_oracles()
+
+
+def test_a_missing_gap_is_no_conflict(spark):
+    """Gaps that only a later type's outcome ahead of an earlier type's would need may be missing."""
+    events = [(1, 0, "DELIV"), (1, 60, "SB"), (2, 0, "SB"), (2, 60, "DELIV")]
+    gaps = Lookups().min_days
+    without = Lookups({pair: days for pair, days in gaps.items() if pair != ("DELIV", "SB")})
+
+    def accepted(lookups):
+        rows = build_episodes(clinic(spark, events), lookups).valid_outcomes.collect()
+        return sorted((r.person_id, r.category) for r in rows)
+
+    assert accepted(Lookups()) == [(1, "SB"), (2, "SB")]
+    assert accepted(without) == [(1, "DELIV"), (1, "SB"), (2, "SB")]
+    with pytest.raises(ValueError, match="outcome_limit"):
+        build_episodes(
+            clinic(spark, events), Lookups({p: d for p, d in gaps.items() if p != ("LB", "SA")})
+        )
+
+
+def test_steps_that_the_rounds_do_not_cover_are_refused():
+    steps = [replace(s, confirmed_by=("AB",)) if s.target == "DELIV" else s for s in STEPS]
+    with pytest.raises(ValueError, match="confirmed"):
+        Rules(steps=tuple(steps))
+    with pytest.raises(ValueError, match="active_categories"):
+        Rules(active_categories=("AGP", "SA"))
+
+
+def test_a_run_uses_the_lookups_beside_its_table(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE beside LOCATION '{tmp_path}/beside'")
+    try:
+        terms = dict(Lookups().terms) | {"LB": (301, 161, 29)}
+        results.init(spark, "beside", Lookups(terms=terms))
+        assert results.find_lookups(spark, "beside").terms == terms
+        results.clean(spark, "beside")
+        assert results.find_lookups(spark, "beside") is None
+    finally:
+        spark.sql("DROP DATABASE beside CASCADE")
+
+
+def test_saved_stage_gives_the_same_results(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE stages LOCATION '{tmp_path}/stages'")
+    try:
+        cdm = driver_cdm(spark, SMALL)
+        direct, saved = build_episodes(cdm), build_episodes(cdm, stage_table="stages.settled")
+        for name in ("episodes", "all_starts", "valid_outcomes", "timeline"):
+            a, b = getattr(direct, name), getattr(saved, name)
+            assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
+        assert not saved.episodes.isEmpty()
+    finally:
+        spark.sql("DROP DATABASE stages CASCADE")

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from partura.functions.joins import broadcast_if_small
 from partura.functions.runs import expand_runs
+from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
 from partura.rules import Rules
+from partura.sources.driver_tables import driver_cdm
 from tests.conftest import SMALL
 
 
@@ -57,6 +59,31 @@ def test_events_are_counted_before_they_meet_by_person(episodes):
     assert ["person_id", "day", "category", "gest_value"] in keys
 
 
+def exchanges(df) -> list[str]:
+    """Hash exchanges of a plan, each counted once however often it is read."""
+    return re.findall(r"Exchange (?:hashpartitioning|RoundRobin)[^\n]*", physical(df))
+
+
+def test_episodes_are_written_without_a_spread(episodes):
+    plan = physical(episodes)
+    assert "REPARTITION_BY_NUM" not in plan
+    enrolment = [e for e in exchanges(episodes) if "from_day" in e]
+    assert not enrolment
+    # Counts, persons, lanes, episodes and enrolment by person, with the joins of the test views.
+    assert len([e for e in exchanges(episodes) if "lane" in e]) == 1
+
+
+def test_only_outcomes_with_evidence_meet_by_event_number(episodes):
+    assert re.search(r"hashpartitioning\(lane_key#\d+L?, lane#\d+L?, ", physical(episodes))
+    assert not re.search(r"hashpartitioning\(event_id", physical(episodes))
+
+
+def test_drug_concepts_are_checked_once(spark):
+    s = study(driver_cdm(spark, SMALL))
+    s.numbered, s.outcome_people
+    assert "drug_dimension" in s.__dict__
+
+
 def test_unused_evidence_is_not_collected(spark):
     plan = optimized(all_queries()["start_lmp"](spark, SMALL))
     assert plan.count("collect_list") == 2
