@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -249,32 +250,55 @@ def co_train(text: Rows, meta: Rows, y: np.ndarray, free_text: Rows, free_meta:
     return Model(t, m, joint, columns)
 
 
-def _join_rows(parts: list[Rows]) -> Rows:
-    starts = np.cumsum([0, *[p.n for p in parts]])
-    return Rows(
-        int(starts[-1]),
-        np.concatenate([p.rows + np.int32(s) for p, s in zip(parts, starts)]),
-        np.concatenate([p.columns for p in parts]),
-        np.vstack([p.dense for p in parts]),
-    )
+def _described(names: list[str]):
+    """Step that puts lists of features in place of texts, where the texts are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
+            done = 0
+            for r in text_features(batch.column(batch.schema.get_field_index("_text"))):
+                order = np.argsort(r.rows, kind="stable")
+                ends = np.cumsum([0, *np.bincount(r.rows, minlength=r.n)]).astype(np.int32)
+                features = pa.ListArray.from_arrays(pa.array(ends), pa.array(r.columns[order]))
+                at = np.arange(0, (r.n + 1) * SHAPES, SHAPES, dtype=np.int32)
+                shape = pa.ListArray.from_arrays(pa.array(at), pa.array(r.dense.ravel()))
+                part = [c.slice(done, r.n) for c in kept]
+                yield pa.RecordBatch.from_arrays([*part, features, shape], [*names, "_features", "_shape"])
+                done += r.n
+
+    return run
 
 
-def _empty(width: int) -> Rows:
-    return Rows(0, np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros((0, width)))
+def _learned(columns: list[str]):
+    """Step that trains on all rows it is given and returns the pickled model, or nothing if there is nothing to learn."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = list(batches)
+        if not sum(b.num_rows for b in given):
+            return
+        table = pa.Table.from_batches(given)
+        ids = table.column("_id").to_numpy().view(np.uint64)
+        table = table.take(pa.array(np.argsort(mix(ids), kind="stable"))).combine_chunks()
+        features = table.column("_features").combine_chunks()
+        column, sizes = features.flatten().to_numpy(), features.value_lengths().to_numpy()
+        text = Rows(
+            table.num_rows,
+            np.repeat(np.arange(table.num_rows, dtype=np.int32), sizes),
+            column,
+            table.column("_shape").combine_chunks().flatten().to_numpy().reshape(-1, SHAPES),
+        )
+        if text.n > 60:  # features of one or two texts teach nothing and are most of them
+            text = text.only(np.bincount(column, minlength=1 << BITS) >= 3)
+        y = table.column("_clean").to_pandas().to_numpy(float)
+        known, free = np.flatnonzero(~np.isnan(y)), np.flatnonzero(np.isnan(y))
+        if not len(known) or y[known].min() == y[known].max():
+            return
+        meta = meta_features(table.rename_columns({f"_m{k}": c for k, c in enumerate(columns)}), columns)
+        model = co_train(text.take(known), meta.take(known), y[known], text.take(free), meta.take(free), columns)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-def _features(table: pa.Table, columns: list[str]) -> tuple[Rows, Rows]:
-    table = table.combine_chunks()
-    texts = table.column("text").chunks
-    # Features of one or two texts teach nothing and are most of them: counted first, then left out, to hold less.
-    seen = np.zeros(1 << BITS, np.int32)
-    for c in texts if table.num_rows > 60 else ():
-        for r in text_features(c):
-            seen += np.bincount(r.columns, minlength=1 << BITS).astype(np.int32)
-    often = seen >= 3 if table.num_rows > 60 else np.ones(1 << BITS, bool)
-    parts = [r.only(often) for c in texts for r in text_features(c)]
-    meta = meta_features(table, columns)
-    return (_join_rows(parts) if parts else _empty(SHAPES)), meta
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> Model | None:
@@ -282,28 +306,25 @@ def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> Model | No
 
     `labels` (doc_id, quality, toxic): a null mark counts as quality 1 or not toxic; of a doc_id labelled more than
     once the worst marks hold. At most LABELLED labelled and UNLABELLED other documents, those with the least hash
-    of their doc_id, are brought to the driver. None if the labels are empty or all the same.
+    of their doc_id, are learnt from; their features, not their texts, meet in one task, and only the model comes
+    to the driver. None if the labels are empty or all the same.
     """
     marks = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("_id"))
     clean = (F.min(F.coalesce("quality", F.lit(1))) == 1) & (F.max(F.coalesce("toxic", F.lit(0))) == 0)
     marks = marks.agg(clean.cast("double").alias("_clean"))
-    own = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"), *metadata)
+    views = [F.col(c).alias(f"_m{k}") for k, c in enumerate(metadata)]
+    own = docs.select(F.col("doc_id").cast("long").alias("_id"), *views, F.col("text").cast("string").alias("_text"))
     order = F.xxhash64("_id", F.lit(3))
     ids = own.select("_id").where("_id is not null").join(marks, "_id", "left")
     some = ids.where("_clean is not null").orderBy(order).limit(LABELLED)
     others = ids.where("_clean is null").orderBy(order).limit(UNLABELLED)
     picked = F.broadcast(some.unionByName(others).dropDuplicates(["_id"]))
-    table = own.join(picked, "_id").toArrow()
-    if not table.num_rows:
-        return None
-    y = np.array([np.nan if v is None else v for v in table.column("_clean").to_pylist()], float)
-    order = np.argsort(mix(np.array(table.column("_id").to_pylist(), np.int64).view(np.uint64)), kind="stable")
-    text, meta = _features(table, metadata)
-    known = order[~np.isnan(y[order])]
-    free = order[np.isnan(y[order])]
-    if not len(known) or y[known].min() == y[known].max():
-        return None
-    return co_train(text.take(known), meta.take(known), y[known], text.take(free), meta.take(free), metadata)
+    names = ["_id", "_clean", *(f"_m{k}" for k in range(len(metadata)))]
+    examples = own.join(picked, "_id").select(*names, "_text")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in examples.select(*names).schema.fields)
+    described = map_arrow(examples, _described(names), f"{kinds}, _features array<int>, _shape array<double>")
+    models = map_arrow(described.repartition(1), _learned(metadata), "model binary").collect()
+    return pickle.loads(models[0].model) if models else None
 
 
 def _score(shared, names: list[str]):
