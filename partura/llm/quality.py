@@ -296,6 +296,8 @@ def _learned(columns: list[str]):
             return
         meta = meta_features(table.rename_columns({f"_m{k}": c for k, c in enumerate(columns)}), columns)
         model = co_train(text.take(known), meta.take(known), y[known], text.take(free), meta.take(free), columns)
+        del given, table, features, column, text, meta
+        pa.default_memory_pool().release_unused()  # this worker goes on to score beside others
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     return run
@@ -327,17 +329,21 @@ def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> Model | No
     return pickle.loads(models[0].model) if models else None
 
 
-def _score(shared, names: list[str]):
+def _score(shared, names: list[str], text_at: int):
+    """Step that adds scores to each row; what it holds at a time beside a batch is one run of texts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
+        places = [names.index(c) for c in model.columns]
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("_text"))
-            parts = [model.text.score(r) for r in text_features(text)]
-            zt = np.concatenate(parts) if parts else np.zeros(0)
-            zm = model.meta.score(meta_features(batch, [f"_m{k}" for k in range(len(model.columns))]))
-            kept = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            scores = [pa.array(_sigmoid(zt)), pa.array(_sigmoid(zm)), pa.array(model.combine(zt, zm))]
-            yield pa.RecordBatch.from_arrays(kept + scores, [*names, "p_text", "p_meta", "score"])
+            done = 0
+            for r in text_features(batch.column(text_at)):
+                part = batch.slice(done, r.n)
+                views = pa.RecordBatch.from_arrays([part.column(k) for k in places], model.columns)
+                zt, zm = model.text.score(r), model.meta.score(meta_features(views, model.columns))
+                scores = [pa.array(_sigmoid(zt)), pa.array(_sigmoid(zm)), pa.array(model.combine(zt, zm))]
+                yield pa.RecordBatch.from_arrays(part.columns[: len(names)] + scores, [*names, "p_text", "p_meta", "score"])
+                done += r.n
 
     return run
 
@@ -351,13 +357,15 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     base = docs.drop(*made)
     if model is None:
         return base.select("*", *[F.lit(1.0).alias(c) for c in made])
-    names = base.columns
-    views = [F.col("text").cast("string").alias("_text")]
-    views += [F.col(c).alias(f"_m{k}") for k, c in enumerate(model.columns)]
+    names, given = base.columns, base
+    text_at = names.index("text")
+    if base.schema["text"].dataType.simpleString() != "string":
+        text_at = len(names)
+        given = base.select("*", F.col("text").cast("string").alias("_" * max(map(len, names)) + "text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     schema = f"{kinds}, p_text double, p_meta double, score double"
-    return map_arrow(base.select("*", *views), _score(shared, names), schema)
+    return map_arrow(given, _score(shared, names, text_at), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

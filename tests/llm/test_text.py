@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from partura.llm import fingerprints as fp
@@ -291,5 +292,10 @@ def test_classifier_on_odd_rows(spark, texts):
     labels = spark.createDataFrame([(1, 1, 0), (7, 0, None), (7, 1, 0), (9, None, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
     found = classify(docs, labels)
     assert found.count() == len(texts) and found.where("score is null or score < 0 or score > 1").count() == 0
+    named = docs.withColumns({"_text": F.lit("x"), "_m0": F.lit(None).cast("int"), "p_text": F.lit("y"), "n_chars": F.length("text")})
+    wide = classify(named, labels)
+    assert wide.columns == [c for c in named.columns if c not in ("p_text", "score")] + ["p_text", "p_meta", "score", "clean"]
+    assert {r["_text"] for r in wide.collect()} == {"x"}
+    assert classify(docs.withColumn("text", F.encode("text", "utf-8")), labels).count() == len(texts)
     assert classify(docs, labels.limit(0)).where("clean").count() == len(texts)
     assert classify(docs.limit(0), labels).collect() == []
