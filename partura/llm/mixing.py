@@ -5,7 +5,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partura.llm.fingerprints import words
@@ -16,6 +16,8 @@ MARGINS = ("source", "lang", "topic")
 TARGETS: dict[str, float | dict[str, float]] = {"source": 0.8, "lang": 0.9, "topic": 1.0}
 ROUNDS = 50
 TOLERANCE = 1e-6
+WHOLE = 0.01  # share of the target weight that cells taken whole may hold where no budget is given
+STEPS = 32  # steps of the logarithm by which the common factor is looked for
 MISSING = "(none)"
 
 
@@ -61,32 +63,89 @@ def _target(cells: DataFrame, margin: str, goal: float | dict[str, float]) -> Da
     return share.select(f"_{margin}", (F.col("t") / total).alias(f"t_{margin}"))
 
 
-def rake(
-    ws: Workspace, cells: DataFrame, targets: dict = TARGETS, rounds: int = ROUNDS, tolerance: float = TOLERANCE
-) -> DataFrame:
-    """`cells` (_source, _lang, _topic, tokens) with `weight`, whose sums by each margin are its targets.
+def _rounds(ws: Workspace, now: DataFrame, name: str, bound: bool, rounds: int, tolerance: float) -> DataFrame:
+    """`now` with `weight` scaled to the goals `t_source`, `t_lang`, `t_topic` in turn; with `bound` to `tokens` at most.
 
-    A round scales the weights to each margin in turn; rounds end when a whole round changes no weight by
-    more than `tolerance` of itself, or after `rounds`. Where no weights meet all margins, the last margin holds exactly. Sums by
-    a margin are combined before they move, so a source with very many cells is one row of them.
+    Rounds end when a whole round changes no weight by more than `tolerance` of itself, or after `rounds`. A bounded value
+    that lacks weight gets it from its cells that are not whole yet. Sums by a margin are combined before they move, so a
+    source with very many cells is one row of them.
     """
-    now = cells.withColumn("weight", F.col("tokens").cast("double"))
-    for m in MARGINS:
-        now = now.join(_target(cells, m, targets[m]), f"_{m}")
-    now = ws.save(now, "rake0")
+    now = ws.save(now, f"{name}0")
     for k in range(rounds):
         new = now.withColumn("_was", F.col("weight"))
         for m in MARGINS:
-            sums = new.groupBy(f"_{m}").agg(F.sum("weight").alias("_sum"))
-            scaled = F.when(F.col("_sum") > 0, F.col("weight") * F.col(f"t_{m}") / F.col("_sum")).otherwise(0.0)
-            new = new.join(sums, f"_{m}").withColumn("weight", scaled).drop("_sum")
-        now = ws.save(new, f"rake{k + 1}").drop("_was")
+            goal, whole = F.col(f"t_{m}"), F.col("weight") >= F.col("tokens")
+            sums = new.groupBy(f"_{m}").agg(
+                F.sum("weight").alias("_sum"), F.sum(F.when(whole, F.col("weight")).otherwise(0.0)).alias("_whole")
+            )
+            scaled = F.when(F.col("_sum") > 0, F.col("weight") * goal / F.col("_sum")).otherwise(0.0)
+            if bound:
+                raised = F.col("weight") * (goal - F.col("_whole")) / (F.col("_sum") - F.col("_whole"))
+                short = (goal > F.col("_sum")) & (F.col("_sum") > F.col("_whole"))
+                raised = F.when(whole, F.col("weight")).when(short, raised)
+                scaled = F.when(goal > F.col("_sum"), F.coalesce(raised, F.col("weight"))).otherwise(scaled)
+                scaled = F.least(scaled, F.col("tokens").cast("double"))
+            new = new.join(sums, f"_{m}").withColumn("weight", scaled).drop("_sum", "_whole")
+        now = ws.save(new, f"{name}{k + 1}").drop("_was")
         change = F.max(F.abs(F.col("weight") - F.col("_was")) / F.greatest("_was", F.lit(1e-300)))
-        moved = ws.spark.read.schema(new.schema).parquet(ws.path(f"rake{k + 1}")).agg(change.alias("c")).first()["c"]
-        ws.drop(f"rake{k}")
+        moved = ws.spark.read.schema(new.schema).parquet(ws.path(f"{name}{k + 1}")).agg(change.alias("c")).first()["c"]
+        ws.drop(f"{name}{k}")
         if k and (moved is None or moved <= tolerance):
             break
-    return now.drop(*[f"t_{m}" for m in MARGINS])
+    return now
+
+
+def rake(
+    ws: Workspace, cells: DataFrame, targets: dict = TARGETS, rounds: int = ROUNDS, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """`cells` (_source, _lang, _topic, tokens) with `weight`, whose sums by each margin are its targets `t_source` and so on.
+
+    Where no weights meet all margins, the last margin holds exactly.
+    """
+    now = cells.withColumn("weight", F.col("tokens").cast("double"))
+    for m in MARGINS:
+        now = now.join(_target(cells, m, targets[m]), f"_{m}")
+    return _rounds(ws, now, "rake", False, rounds, tolerance)
+
+
+def _common_factor(raked: DataFrame, whole: float) -> float:
+    """The tokens to aim at: the most with which cells that would pass probability 1 hold at most `whole` of the weight."""
+    ratio = F.col("weight") / F.col("tokens")
+    steps = raked.where("weight > 0").groupBy(F.floor(F.log(ratio) * STEPS).alias("step"))
+    steps = steps.agg(F.max(ratio).alias("most"), F.sum("weight").alias("weight"))
+    above = Window.orderBy(F.desc("step"))  # one row a step, however many cells
+    steps = steps.withColumn("held", F.sum("weight").over(above)).withColumn("all", F.sum("weight").over(Window.partitionBy()))
+    most = steps.where(F.col("held") > whole * F.col("all")).agg(F.max("most").alias("m")).first()["m"]
+    return 1.0 / most if most else 1.0
+
+
+def fill(
+    ws: Workspace, raked: DataFrame, budget: float, rounds: int = ROUNDS, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """`raked` with weights in tokens that come to `budget` and pass the tokens of no cell.
+
+    A value of a margin with fewer tokens than its share of the budget is taken whole and the others share the rest by
+    their targets; the cells are raked again to these goals.
+    """
+    now = raked.withColumn("weight", F.least(F.col("weight") * budget, F.col("tokens").cast("double")))
+    for m in MARGINS:
+        t, n = F.col(f"t_{m}"), F.col("n")
+        values = raked.groupBy(f"_{m}", f"t_{m}").agg(F.sum("tokens").cast("double").alias("n"))
+        values = ws.save(values, f"values_{m}")
+        scale, before = float(budget), -1
+        while True:
+            short = t * scale >= n
+            found = values.agg(
+                F.sum(F.when(short, n).otherwise(0.0)).alias("whole"),
+                F.sum(F.when(short, 0.0).otherwise(t)).alias("rest"),
+                F.count_if(short).alias("short"),
+            ).first()
+            if found["short"] == before or not found["rest"] or budget <= found["whole"]:
+                break
+            scale, before = max(scale, (budget - found["whole"]) / found["rest"]), found["short"]
+        goals = values.select(f"_{m}", F.least(t * scale, n).alias(f"t_{m}"))
+        now = now.drop(f"t_{m}").join(goals, f"_{m}")
+    return _rounds(ws, now, "fill", True, rounds, tolerance)
 
 
 def uniform(seed: int) -> Column:
@@ -102,13 +161,16 @@ def mix(
     budget: float | None = None,
     seed: int = 1,
     ws: Workspace | None = None,
+    whole: float = WHOLE,
 ) -> DataFrame:
     """A sample of `docs` (doc_id, text, source, lang) whose tokens have the target shares, with `topic`, `tokens` and `probability`.
 
     Token weights are raked to the targets over the cells of source, language and topic (a column `topic`, or the
-    kind of text). A document of a cell stays with probability weight / tokens of the cell, times a common factor:
-    the largest with which no probability passes 1, or what gives `budget` tokens if that is less. So no document is
-    taken twice, and the expected tokens by each margin have just the target shares. Nulls in a margin
+    kind of text). A document of a cell stays with probability weight / tokens of the cell, times a common factor that gives
+    `budget` tokens, or without a budget the most with which cells that would pass probability 1 hold at most `whole` of the
+    target weight. Such cells are taken whole and the others raked again under that bound, so a stray cell does not
+    set how much of the rest stays. No document is taken twice. The expected tokens by each margin have just the target
+    shares, except that values with too few tokens for theirs are whole and the others share the rest. Nulls in a margin
     are a value of their own; a value that a stated target leaves out has weight 0. A document without words counts as one
     token. Rows with the same doc_id stay or go together. An empty table gives no rows.
     """
@@ -117,9 +179,11 @@ def mix(
     margins = [f"_{m}" for m in MARGINS]
     cells = ws.save(full.groupBy(*margins).agg(F.sum("tokens").alias("tokens")), "cells")
     raked = rake(ws, cells, targets)
+    budget = _common_factor(raked, whole) if budget is None else budget
     most = raked.agg(F.max(F.col("weight") / F.col("tokens")).alias("m")).first()["m"] or 1.0
-    factor = 1.0 / most if budget is None else min(1.0 / most, budget)
-    chances = raked.select(*margins, (F.col("weight") / F.col("tokens") * factor).alias("probability"))
+    if budget * most > 1 + 1e-9:
+        raked, budget = fill(ws, raked, budget), 1.0
+    chances = raked.select(*margins, (F.col("weight") / F.col("tokens") * budget).alias("probability"))
     joined = full.join(chances, margins).where(uniform(seed) < F.col("probability"))
     own = [c for c in docs.columns if c not in ("topic", "tokens", "probability")]
     return joined.select(*own, F.col("_topic").alias("topic"), "tokens", "probability")

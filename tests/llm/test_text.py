@@ -269,6 +269,25 @@ def test_mix_meets_targets(spark):
     assert np.allclose(hoped / hoped.sum(), [0.25, 0.25, 0.5], atol=1e-4)
 
 
+def test_a_stray_row_does_not_thin_the_mix(spark):
+    rnd = random.Random(9)
+    rows = [(k, "word " * rnd.randint(5, 40), rnd.choice(["en", "en", "de"]), rnd.choice("aaab"), rnd.choice("xy")) for k in range(3000)]
+    schema = "doc_id long, text string, lang string, source string, topic string"
+    whole = sum(len(r[1].split()) for r in rows)
+    goal = {"source": 0.8, "lang": 0.9, "topic": 1.0}
+
+    def kept(given, **more):
+        found = mix(spark.createDataFrame(given, schema), goal, **more).toPandas()
+        assert found.probability.max() <= 1 + 1e-9
+        return found
+
+    stray = [*rows, (9000, "", "en", "stray", "x")]
+    after = kept(stray)
+    assert after.tokens.sum() > 0.7 * whole and 9000 in set(after.doc_id)
+    # A budget is met, also one beyond what the shares allow.
+    assert abs(kept(stray, budget=0.97 * whole).tokens.sum() / whole - 0.97) < 0.03
+
+
 def test_mix_of_odd_rows(spark, texts):
     docs = frame(spark, texts)
     every = {"source": 1.0, "lang": 1.0, "topic": 1.0}
