@@ -190,21 +190,22 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int]]:
 def main_text(page: str, low: set[int]) -> str:
     """Lines of the article: of the article or main element if the page has one, of the whole body otherwise.
 
-    Branches that tags, roles or class names mark as something else go, and outside the article those in `low`.
+    Branches that tags, roles or class names mark as something else go, and everywhere those in `low`; an article that is
+    in `low` as a whole stays.
     """
     found = [(n, line) for n, line in blocks(page) if not n.noise]
     best = max((n.main for n, _ in found), default=0)
-    if best:
-        return "\n".join(line for n, line in found if n.main == best)
+    content = [x for x in found if x[0].main == best] if best else []
 
     def matters(node: Node | None) -> bool:
         while node is not None:
-            if node.path and node.path.count("/") > 2 and _hash(node.path) in low:
+            if node.path and node.path.count("/") > 2 and node.tag not in MAIN_TAGS and _hash(node.path) in low:
                 return False
             node = node.parent
         return True
 
-    return "\n".join(line for n, line in found if not low or matters(n))
+    kept = [x for x in content or found if not low or matters(x[0])]
+    return "\n".join(line for _, line in kept or content)
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -73,6 +73,13 @@ def test_site_style_tree(spark):
     assert extract(df.limit(0)).collect() == []
 
 
+def test_site_style_tree_inside_articles(spark):
+    page = "<body><main><article><h1>Title {0}</h1><div class='x'><p>Same words</p></div><p>Text {0} of page {0}</p><section><p>Same end</p>"
+    rows = [(k, f"http://h.example/{k}", page.format(k) + "</section></article></main></body>") for k in range(8)]
+    found = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {k: f"Title {k}\nText {k} of page {k}" for k in range(8)}
+
+
 def test_archive_round_trip(spark, tmp_path):
     long = "<p>é" + "x" * 200
     rows = [(5, "u\r\nWARC-Type: revisit", long), (3, "v", long), (9, None, long), (1, "a%0Ab", "short"), (2, "b", "short")]
