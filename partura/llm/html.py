@@ -42,10 +42,15 @@ NOISE_WORDS = set(
 )
 NOISE_OUTSIDE = set("header masthead top topbar".split())  # outside the article only
 MAIN_TAGS = {"article": 2, "main": 1}
+ROOTS = {"html", "body", "main", "article"}  # no noise by a class word
+WRAPPER = 0.9  # a branch marked by a class word that holds so much of a page's text wraps it
 
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?/a-zA-Z][^>]*(?:>|\Z)", re.S
 )
+_RAW_ENDS = {t: re.compile(rf"<(/?){t}(?![a-z0-9-])([^>]*)>?", re.I | re.A) for t in RAW}
+_NEXT_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS - {'option'}))})(?![a-z0-9-])", re.I | re.A)
+_QUALIFIED = re.compile(r"(?<!\S)(?:no|has|with|without)[-_]\S*", re.I)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -58,21 +63,24 @@ _CLOSED_BY = {
 class Node:
     """An open element that can hold blocks."""
 
-    __slots__ = ("tag", "path", "noise", "main", "children", "parent")
+    __slots__ = ("tag", "path", "noise", "marks", "main", "children", "parent")
 
-    def __init__(self, tag: str, path: str, noise: bool, main: int, parent: "Node | None"):
+    def __init__(self, tag: str, path: str, noise: bool, marks: tuple["Node", ...], main: int, parent: "Node | None"):
         self.tag, self.path, self.noise, self.main, self.parent = tag, path, noise, main, parent
+        self.marks = marks  # elements around it that a class word marks, itself included
         self.children: list[str] = []
 
 
-def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
-    """Whether an element is noise by itself, and its class for the path."""
-    noise, label = tag in NOISE_TAGS or (tag == "header" and not inside), ""
+def _marks(tag: str, attributes: str, main: int) -> tuple[bool, bool, str]:
+    """Whether an element is noise by its tag, role or hiding, whether by a class word, and its class for the path."""
+    inside = main > 0
+    noise, worded, label = tag in NOISE_TAGS or (tag == "header" and not inside), False, ""
     for name, value in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), unescape(value.strip("\"'"))
         if name in ("class", "id"):
-            words = {w.lower() for w in _PART.findall(value)}
-            noise = noise or bool(words & NOISE_WORDS) or (not inside and bool(words & NOISE_OUTSIDE))
+            words = {w.lower() for w in _PART.findall(_QUALIFIED.sub(" ", value))}
+            if tag not in ROOTS or (tag == "article" and main == MAIN_TAGS["article"]):
+                worded = worded or bool(words & NOISE_WORDS) or (not inside and bool(words & NOISE_OUTSIDE))
             label += "." + re.sub(r"\d+", "0", value)
         elif name == "role":
             noise = noise or value.lower() in NOISE_ROLES
@@ -80,14 +88,30 @@ def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, str]:
             noise = True
         elif name == "style":
             noise = noise or bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I))
-    return noise, label
+    return noise, worded, label
+
+
+def _raw_ends(page: str, tag: str) -> dict[int, int]:
+    """Where each element `tag` ends, by where it starts; an element that is not closed has no end."""
+    found, opened = {}, []
+    for m in _RAW_ENDS[tag].finditer(page):
+        if not m[1]:
+            if tag in ("svg", "math") and m[2].endswith("/"):
+                continue
+            opened.append(m.start())
+        elif opened:
+            starts = opened if tag in ("script", "style") else opened[-1:]  # text of a script is no markup
+            found.update(dict.fromkeys(starts, m.end()))
+            del opened[-len(starts) :]
+    return found
 
 
 def blocks(page: str) -> list[tuple[Node, str]]:
     """Runs of text between block tags, in page order, each with the element that holds it; markup may be broken."""
-    root = Node("", "", False, 0, None)
+    root = Node("", "", False, (), 0, None)
     now, out, text = root, [], []
-    lower, at = None, 0
+    ends: dict[str, dict[int, int]] = {}
+    at = 0
 
     def flush() -> None:
         if text:
@@ -128,19 +152,21 @@ def blocks(page: str) -> list[tuple[Node, str]]:
                 now = holder.parent
             continue
         if tag in RAW:
-            lower = page.lower() if lower is None and len(page) == len(page.lower()) else lower
-            end = (lower if lower is not None else page).find(f"</{tag}", at)
-            if end < 0:
-                at = len(page)
-            else:
-                close = page.find(">", end)
-                at = len(page) if close < 0 else close + 1
+            if m[3].endswith("/") and tag in ("svg", "math"):
+                continue
+            if tag not in ends:
+                ends[tag] = _raw_ends(page, tag)
+            close = ends[tag].get(m.start())
+            if close is None and tag not in ("script", "style"):
+                block = _NEXT_BLOCK.search(page, at)
+                close = block.start() if block else None
+            at = len(page) if close is None else max(at, close)
             text.append(" ")
             continue
         if tag == "br":
             text.append(" ")
             continue
-        noise, label = _marks(tag, m[3], now.main > 0)
+        noise, worded, label = _marks(tag, m[3], now.main)
         if tag in BLOCKS:
             flush()
             while now.tag == "p" or now.tag in _CLOSED_BY.get(tag, ()) or (now is not root and now.tag not in BLOCKS):
@@ -153,7 +179,7 @@ def blocks(page: str) -> list[tuple[Node, str]]:
                     now = holder.parent
             if tag == "body" and now.tag == "head":
                 now = now.parent
-        elif not noise or tag in VOID:
+        elif not (noise or worded) or tag in VOID:
             continue
         else:
             flush()
@@ -161,8 +187,11 @@ def blocks(page: str) -> list[tuple[Node, str]]:
             continue
         path = f"{now.path}/{tag}{label}"
         now.children.append(path)
-        main = 0 if noise or now.noise else max(now.main, MAIN_TAGS.get(tag, 0), 'role="main"' in m[3])
-        now = Node(tag, path, noise or now.noise, main, now)
+        noise = noise or now.noise
+        main = 0 if noise else max(now.main, MAIN_TAGS.get(tag, 0), 'role="main"' in m[3])
+        now = Node(tag, path, noise, now.marks, main, now)
+        if worded:
+            now.marks += (now,)
     flush()
     return out
 
@@ -187,19 +216,40 @@ def style_nodes(page: str) -> Iterator[tuple[int, int, int]]:
         yield _hash(path), _hash("\n".join(layouts[path])), _hash("\n".join(lines))
 
 
+def _unmarked(found: list[tuple[Node, str]]) -> list[tuple[Node, str]]:
+    """Lines in no branch that a class word marks. Where that leaves no article, a mark around most of the page does not count."""
+    ignored: set[int] = set()
+    size = sum(len(line) for _, line in found)
+    while True:
+        marks = [next((k for k in n.marks if id(k) not in ignored), None) for n, _ in found]
+        clean = [x for x, k in zip(found, marks) if k is None]
+        if any(n.main for n, _ in clean):
+            return clean
+        held: dict[int, int] = {}
+        around = set()
+        for (n, line), k in zip(found, marks):
+            if k is not None:
+                held[id(k)] = held.get(id(k), 0) + len(line)
+                if n.main and not k.main:
+                    around.add(id(k))
+        wraps = {k for k, n in held.items() if n >= WRAPPER * size or k in around and 2 * n > size}
+        if not wraps:
+            return clean
+        ignored |= wraps
+
+
 def main_text(page: str, low: set[int]) -> str:
-    """Lines of the article: of the article or main element if the page has one, of the whole body otherwise.
+    """Lines of the article: of the article and main elements if the page has any, of the whole body otherwise.
 
     Branches that tags, roles or class names mark as something else go, and everywhere those in `low`; an article that is
     in `low` as a whole stays.
     """
-    found = [(n, line) for n, line in blocks(page) if not n.noise]
-    best = max((n.main for n, _ in found), default=0)
-    content = [x for x in found if x[0].main == best] if best else []
+    found = _unmarked([(n, line) for n, line in blocks(page) if not n.noise])
+    content = [x for x in found if x[0].main]
 
     def matters(node: Node | None) -> bool:
         while node is not None:
-            if node.path and node.path.count("/") > 2 and node.tag not in MAIN_TAGS and _hash(node.path) in low:
+            if node.path and node.path.count("/") > 2 and node.tag not in ROOTS and _hash(node.path) in low:
                 return False
             node = node.parent
         return True

@@ -59,6 +59,19 @@ def test_main_text_of_broken_pages():
     assert main_text("", set()) == "" and main_text("<!-- <p>x</p>", set()) == ""
 
 
+def test_main_text_of_ordinary_pages():
+    side, line = '<div class="sidebar">s</div>', "Words of the article itself"
+    for around in ('<body id="top">', '<body class="has-sidebar">', '<div class="no-sidebar">', '<div class="sidebar-layout">'):
+        assert main_text(f"{around}{side}<article><p>{line}</article>", set()) == line
+    assert main_text(f'<body class="has-sidebar">{side}<div class="search-page"><p>{line}</div>', set()) == line
+    assert main_text('<article class="post comments-open"><p>x<div class="comments">c</div></article>', set()) == "x"
+    assert main_text('<main class="search"><p>a<article><p>b</article><p>c</main>', set()) == "a\nb\nc"
+    assert main_text('<article>x<div id="comments"><article>no</article></div></article>', set()) == "x"
+    for raw in ('<svg d="1"/>', "<math/>", "<noscript>n", "<select><option>o", "<svg>s<p>z</p></svg><svg>t"):
+        assert main_text(f"<article>{raw}<p>{line}</p><p>e</article><svg>u</svg>", set()).endswith(f"{line}\ne")
+    assert main_text("<article><svg><svg></svg>t</svg><script>'<script>'</SCRIPT><p>x\u0130</p></article>", set()) == "x\u0130"
+
+
 def test_site_style_tree(spark):
     page = "<body><div><div class='x{0}'><p>Same words</p></div><div><p>Text {1} of page {1}</p></div></div></body>"
     rows = [(k, f"http://h.example/{k}", page.format("", k), "l") for k in range(8)]
