@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partura.llm.chat import END, ROLE, TEXT, format_chats, read_chats
+from partura.llm.decontamination import contamination
+from partura.llm.divergence import divergence
 from partura.llm.fingerprints import edits
 from partura.llm.html import extract
 from partura.llm.lines import dedup_lines
@@ -18,6 +20,7 @@ from partura.llm.quality import classify
 from partura.llm.storage import Workspace
 from partura.llm.vectors import near_vectors
 from partura.llm.warc import round_trip
+from partura.llm.whitening import whiten
 
 TRIAL = "\\### Assistant: </turn> ok"
 
@@ -93,6 +96,20 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(_read(spark, sf_dir, "documents"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`deviation` is null where no long holds it."""
+    white = whiten(_read(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_fingerprints,
@@ -105,6 +122,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc,
         op9_chat,
         op10_minhash,
+        op11_divergence,
+        op12_decontamination,
+        op13_whitening,
     )
     return {f.__name__: f for f in own}
 
@@ -181,5 +201,79 @@ FROM c LEFT JOIN n USING (doc_id)
 """
 
 
+_DIVERGENCE = r"""
+WITH t AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), u AS (SELECT lang, source, doc, unnest(w) AS term FROM t),
+kept AS (
+  SELECT lang, term, count(*)::HUGEINT AS n FROM u GROUP BY lang, term HAVING count(DISTINCT doc) >= 10
+), size AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM t),
+own AS (
+  SELECT u.lang, u.source, u.term, count(*)::HUGEINT AS n FROM u JOIN kept k ON k.lang = u.lang AND k.term = u.term
+  GROUP BY ALL
+), total AS (SELECT lang, source, sum(n)::HUGEINT AS n FROM own GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+    1 + (1000000000 * (coalesce(o.n, 0) + 2)) // (coalesce(t.n, 0) + 2 * s.v) AS p,
+    1 + (1000000000 * (k.n + 2)) // (s.n + 2 * s.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN size s ON s.lang = g.lang
+  LEFT JOIN total t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM dense a JOIN dense b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM dense WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+_CONTAMINATION = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS x
+  FROM (SELECT *, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM b WHERE len(w) > 0)
+), hit AS (
+  SELECT r, s, g.n, item FROM (
+    SELECT r, n, s, array_to_string(w[s:s + n - 1], ' ') AS x
+    FROM (SELECT r, n, w, unnest(range(1, len(w) - n + 2)) AS s
+          FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+  ) g JOIN win ON win.n = g.n AND win.x = g.x
+), places AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r
+), items AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op5_vectors": _VECTORS, "op8_warc": _WARC, "op9_chat": _CHAT, "op10_minhash": _MINHASH}
+    return {
+        "op5_vectors": _VECTORS,
+        "op8_warc": _WARC,
+        "op9_chat": _CHAT,
+        "op10_minhash": _MINHASH,
+        "op11_divergence": _DIVERGENCE,
+        "op12_decontamination": _CONTAMINATION,
+    }
