@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import differences, duck
+from checks.oracle import all_oracles
+from partura.plans.queries import all_queries
 from tests.conftest import SMALL
 
 HOT = ("event_timeline", "revised_timeline", "valid_outcomes", "episode_all_starts",
@@ -17,13 +19,15 @@ def small():
     return duck(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_sql(spark, small, name):
     assert differences(spark, small, SMALL, name) == ""
 
 
 def test_contract(spark):
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert all_queries().keys() == all_oracles().keys()
+    assert all_queries().keys() <= contract.queries().keys()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
     columns = contract.entry(spark).columns
     assert columns[0] == "person_id" and columns[-1] == "episode_length"
 
