@@ -146,14 +146,6 @@ CTES = {
             WHERE target <> 'LB'
         UNION SELECT 'ECT', category
             FROM (VALUES ('ECT_SURG1'), ('ECT_SURG2'), ('MTX')) t(category)""",
-    "pool": """
-        SELECT u.target, t.person_id, min(t.event_id) AS event_id, t.category, t.event_date,
-               t.gest_value
-        FROM tl t JOIN universe u USING (category)
-        SEMI JOIN (SELECT DISTINCT person_id, category FROM tl) h
-            ON h.person_id = t.person_id AND h.category = u.target
-        WHERE u.target IN ('LB', 'SB', 'ECT')
-        GROUP BY ALL""",
     "start_state": """
         SELECT person_id, list({'id': event_id, 'cat': category,
                    'd': date_diff('day', DATE '1970-01-01', event_date)} ORDER BY event_id) AS ev
@@ -163,7 +155,9 @@ CTES = {
         GROUP BY person_id""",
     "state": f"""
         SELECT person_id, 0 AS step, ev, list_filter(ev, lambda e: false) AS queue,
-               list_filter(ev, lambda e: false) AS ok
+               list_filter(ev, lambda e: false) AS ok,
+               CAST([] AS STRUCT(id BIGINT, cat VARCHAR, d BIGINT, good BOOLEAN,
+                    seen STRUCT(id BIGINT, cat VARCHAR, d BIGINT)[], near BIGINT[])[]) AS log
         FROM start_state
         UNION ALL
         SELECT person_id, new_step, new_ev,
@@ -179,14 +173,20 @@ CTES = {
                CASE WHEN new_step = step AND (target = 'LB' OR (confirmed AND NOT active
                              AND NOT near))
                     THEN list_append(ok, {{'id': c.id, 'cat': c.cat, 'd': new_d}})
-                    ELSE ok END
+                    ELSE ok END,
+               CASE WHEN new_step = step
+                    THEN list_append(log, {{'id': c.id, 'cat': c.cat, 'd': new_d,
+                        'good': target = 'LB' OR (confirmed AND NOT active AND NOT near),
+                        'seen': ok, 'near': CASE WHEN target <> 'LB' THEN close ELSE [] END}})
+                    ELSE log END
         FROM (
           SELECT *,
                  len(list_filter(new_ev, lambda e: e.cat IN ('AGP', 'PCONF')
                          AND e.d > new_d AND e.d <= new_d + 42)) > 0 AS active,
-                 len(list_filter(ok, lambda o: abs(o.d - new_d + 1) <
+                 list_transform(list_filter(ok, lambda o: abs(o.d - new_d + 1) <
                          CASE WHEN o.d <= new_d THEN gaps[o.cat || '>' || c.cat]
-                              ELSE gaps[c.cat || '>' || o.cat] END)) > 0 AS near
+                              ELSE gaps[c.cat || '>' || o.cat] END), lambda o: o.id) AS close,
+                 len(close) > 0 AS near
           FROM (
             SELECT *, CASE WHEN new_step > step THEN ev ELSE list_transform(ev, lambda e:
                         CASE WHEN e.id = c.id THEN {{'id': e.id, 'cat': e.cat, 'd': new_d}}
@@ -207,7 +207,11 @@ CTES = {
                            CASE WHEN len(queue) = 0 THEN step + 1 ELSE step END] AS target,
                        {_gap_map} AS gaps
                 FROM state WHERE len(queue) > 0 OR step < 6))))""",
-    "done": "SELECT person_id, ev, ok FROM state WHERE step = 6 AND len(queue) = 0",
+    "done": "SELECT person_id, ev, ok, log FROM state WHERE step = 6 AND len(queue) = 0",
+    "turn": """
+        SELECT person_id, l.cat AS target, l.id AS event_id, l.d, l.good, l.seen, l.near,
+               CAST(row_number() OVER (PARTITION BY person_id, l.cat ORDER BY n) AS INTEGER) AS pass
+        FROM (SELECT person_id, unnest(log) AS l, generate_subscripts(log, 1) AS n FROM done)""",
     "valid": """
         SELECT person_id, o.id AS event_id, o.cat AS category,
                DATE '1970-01-01' + CAST(o.d AS INTEGER) AS event_date
@@ -219,6 +223,26 @@ CTES = {
         SELECT person_id, event_id, category, coalesce(new_date, event_date) AS event_date,
                event_date AS first_date, gest_value
         FROM tl LEFT JOIN moved USING (person_id, event_id)""",
+    # Events of types whose steps came before lie where they moved to.
+    "pool": """
+        SELECT u.target, r.person_id, min(r.event_id) AS event_id, r.category,
+               CASE WHEN own.step < t.step THEN r.event_date ELSE r.first_date END AS event_date,
+               r.gest_value
+        FROM rtl r JOIN universe u USING (category) JOIN targets t ON t.target = u.target
+        LEFT JOIN targets own ON own.target = r.category
+        SEMI JOIN (SELECT DISTINCT person_id, category FROM tl) h
+            ON h.person_id = r.person_id AND h.category = u.target
+        GROUP BY ALL""",
+    "pool_left": """
+        SELECT p.target, p.person_id, p.event_id, k.passes,
+               min(x.pass) FILTER (CASE WHEN p.target = 'LB'
+                   THEN date_diff('day', DATE '1970-01-01', p.event_date) - x.d + 1 < l.min_days
+                   ELSE x.event_id = p.event_id END) AS gone
+        FROM pool p JOIN turn x USING (person_id, target)
+        JOIN (SELECT person_id, target, max(pass) AS passes FROM turn GROUP BY ALL) k
+            USING (person_id, target)
+        LEFT JOIN limits l ON l.first_cat = 'LB' AND l.later_cat = p.category
+        GROUP BY ALL""",
     # The one event that stands for equal outcome events.
     "heads": """
         SELECT r.* FROM rtl r JOIN (
@@ -384,41 +408,39 @@ FINAL = {
     "category_universe": """
         SELECT target, category, count(*) AS n_events FROM tl JOIN universe USING (category)
         GROUP BY ALL""",
-    "dedupe_events": "SELECT * EXCLUDE (target) FROM pool WHERE target = 'ECT'",
-    "next_outcome": """
-        SELECT target, person_id, event_id FROM pool WHERE category = target
-        QUALIFY row_number() OVER (PARTITION BY target, person_id
-                                   ORDER BY event_date, event_id) = 1""",
+    "dedupe_events": "SELECT * FROM pool",
+    "next_outcome": "SELECT target, pass, person_id, event_id FROM turn",
     "min_gap_delete": """
-        SELECT p.person_id, p.event_id
-        FROM pool p JOIN (SELECT person_id, min(event_date) AS first_date FROM pool
-                          WHERE target = 'LB' AND category = 'LB' GROUP BY person_id) f
-            USING (person_id)
-        JOIN limits ON first_cat = 'LB' AND later_cat = p.category
-        WHERE p.target = 'LB' AND date_diff('day', first_date, p.event_date) + 1 < min_days""",
+        SELECT target, gone AS pass, person_id, event_id FROM pool_left
+        WHERE target = 'LB' AND gone IS NOT NULL""",
     "valid_lb": "SELECT person_id, event_id FROM valid WHERE category = 'LB'",
     "rule_out_active": """
         SELECT person_id, event_id, category FROM heads h
         WHERE category <> 'LB' AND EXISTS (SELECT 1 FROM rtl r WHERE r.person_id = h.person_id
             AND r.category IN ('AGP', 'PCONF')
             AND r.event_date > h.event_date AND r.event_date <= h.event_date + 42)""",
-    "prior_flag": f"""
-        SELECT c.person_id, c.event_id, v.event_id AS accepted_event_id,
-               CASE WHEN v.event_date <= c.event_date THEN 1 ELSE 0 END AS prior
-        FROM (SELECT person_id, min(event_id) AS event_id, min(event_date) AS event_date FROM tl
-              WHERE category = 'SB' GROUP BY person_id) c
-        JOIN {_LB} v USING (person_id)""",
-    "min_gap_conflict": f"""
-        SELECT DISTINCT c.person_id, c.event_id
-        FROM heads c JOIN {_LB} v USING (person_id)
-        WHERE c.category = 'SB' AND (
-            (v.event_date <= c.event_date
-             AND abs(date_diff('day', c.event_date, v.event_date) + 1) <
-                 (SELECT min_days FROM limits WHERE first_cat = 'LB' AND later_cat = 'SB'))
-            OR (v.event_date > c.event_date
-             AND abs(date_diff('day', c.event_date, v.event_date) + 1) <
-                 (SELECT min_days FROM limits WHERE first_cat = 'SB' AND later_cat = 'LB')))""",
-    "accept_outcome": "SELECT person_id, event_id FROM valid WHERE category = 'SB'",
+    "prior_flag": """
+        SELECT target, pass, person_id, event_id, o.id AS accepted_event_id,
+               CASE WHEN o.d <= d THEN 1 ELSE 0 END AS prior
+        FROM (SELECT *, unnest(seen) AS o FROM turn WHERE target <> 'LB')""",
+    "min_gap_conflict": """
+        SELECT target, pass, person_id, event_id, unnest(near) AS accepted_event_id FROM turn""",
+    "accept_outcome": "SELECT target, pass, person_id, event_id FROM turn WHERE good",
+    "outcome_decisions": """
+        SELECT t.target, t.pass, t.person_id, t.event_id, t.good AS accepted,
+               DATE '1970-01-01' + CAST(t.d AS INTEGER) AS event_date,
+               t.near[1] AS conflicting_event_id,
+               (SELECT arg_min(r.event_id, {'d': r.event_date, 'e': r.event_id}) FROM tl r
+                WHERE r.person_id = t.person_id AND r.category IN ('AGP', 'PCONF')
+                    AND t.target <> 'LB'
+                    AND date_diff('day', DATE '1970-01-01', r.event_date) - t.d BETWEEN 1 AND 42
+               ) AS refuting_event_id,
+               (SELECT arg_max(r.event_id, {'d': r.event_date, 'e': -r.event_id}) FROM tl r
+                WHERE r.person_id = t.person_id AND t.target = 'ECT'
+                    AND r.category IN ('ECT_SURG1', 'ECT_SURG2', 'MTX')
+                    AND date_diff('day', h.event_date, r.event_date) BETWEEN 0 AND 14
+               ) AS confirming_event_id
+        FROM turn t JOIN tl h USING (person_id, event_id)""",
     "accept_ect": "SELECT person_id, event_id FROM valid WHERE category = 'ECT'",
     "ect_confirmation": _WINDOW_14.format(
         date="event_date", name="confirmation_date", target="ECT",
@@ -436,9 +458,8 @@ FINAL = {
     },
     "revised_timeline": "SELECT * EXCLUDE (first_date) FROM rtl",
     "pool_remaining": """
-        SELECT person_id, event_id FROM pool p WHERE target = 'SB'
-            AND (person_id, event_id) NOT IN (
-                SELECT (person_id, min(event_id)) FROM tl WHERE category = 'SB' GROUP BY person_id)""",
+        SELECT target, CAST(pass AS INTEGER) AS pass, person_id, event_id
+        FROM (SELECT *, unnest(range(1, coalesce(gone - 1, passes) + 1)) AS pass FROM pool_left)""",
     "valid_outcomes": "SELECT person_id, event_id FROM valid",
     "outcome_events": "SELECT * FROM valid",
     "prior_outcome_asof": "SELECT * FROM prior",

@@ -35,15 +35,26 @@ def all_starts(picks: DataFrame, rules: Rules) -> DataFrame:
     )
 
 
-def best_episodes(picks: DataFrame, rules: Rules) -> DataFrame:
+def best_episodes(picks: DataFrame, rules: Rules, share_day: bool = False) -> DataFrame:
     """One episode per outcome day: the start of lowest rank.
 
-    Accepted outcomes of a person never share a day, so no comparison between rows is needed.
-    The start leaves through a generator: the later joins test its day, and a null test derived
-    from them would otherwise be pushed down as a second copy of the whole choice.
+    Accepted outcomes of a person that never share a day need no comparison between rows; with
+    ``share_day`` the best start of those that do is taken, at equal ranks that of the lower event
+    number. The start leaves through a generator: the later joins test its day, and a null test
+    derived from them would otherwise be pushed down as a second copy of the whole choice.
     """
+    starts = with_starts(picks, rules)
+    if share_day:
+        own = ("event_id", "category", "has_two_events")
+        first = F.min(F.struct(F.least("refined", "best").alias("start"), *own)).alias("one")
+        starts = (
+            starts.groupBy("person_id", "day")
+            .agg(first)
+            .select("person_id", "day", "one.*")
+            .select("*", F.col("start").alias("best"), F.col("start").alias("refined"))
+        )
     return (
-        with_starts(picks, rules)
+        starts
         .selectExpr(
             "person_id", "day AS end_day", "category AS outcome_category", "has_two_events",
             "inline_outer(array(least(refined, best)))",

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date
-from partura.functions.text import one_of, struct
+from partura.functions.text import listed, literal, one_of, struct
 from partura.rules import OutcomeStep, Rules
 from partura.sources.lookups import Lookups
 
@@ -72,12 +72,15 @@ def _new_day(steps: list[OutcomeStep], rules: Rules) -> str:
     return f"CASE {cases} ELSE day END AS new_day" if steps else "day AS new_day"
 
 
-def settled_runs(numbered: DataFrame, rules: Rules) -> DataFrame:
+def settled_runs(numbered: DataFrame, rules: Rules, witnesses: bool = False) -> DataFrame:
     """The timeline after all date moves, with what the acceptance checks need.
 
     ``pool_day`` is the day before the move, ``confirmed`` and ``ruled_out`` the verdicts from
-    records, ``is_first`` marks the event that stands for its run.
+    records, ``is_first`` marks the event that stands for its run. With ``witnesses`` there are
+    also ``confirmed_by`` and ``refuted_by``, the numbers of the records that decided.
     """
+    if not rules.moves_in_rounds:
+        return settled_step_by_step(numbered, rules, witnesses)
     confirmed = " ".join(
         f"WHEN category = '{step.target}' "
         f"THEN {latest_day(step.confirmed_by, 0, rules.revision_days)} IS NOT NULL"
@@ -85,16 +88,141 @@ def settled_runs(numbered: DataFrame, rules: Rules) -> DataFrame:
         if step.confirmed_by
     )
     confirmed = f"CASE {confirmed} ELSE true END" if confirmed else "true"
+    shown = [f"{_confirmed_by(rules)} AS confirmed_by"] if witnesses else []
     first, *others = move_rounds(rules)
     runs = _move(
         numbered.withColumn("is_first", F.lit(True)).selectExpr(
-            "*", "day AS pool_day", f"{confirmed} AS confirmed", _new_day(first, rules)
+            "*", "day AS pool_day", f"{confirmed} AS confirmed", *shown, _new_day(first, rules)
         )
     )
     for steps in others:
         runs = _move(runs.selectExpr("*", _new_day(steps, rules)))
     active = latest_day(rules.active_categories, 1, rules.rule_out_days)
-    return runs.selectExpr("*", f"{active} IS NOT NULL AS ruled_out")
+    shown = [f"{_refuted_by(rules)} AS refuted_by"] if witnesses else []
+    return runs.selectExpr("*", f"{active} IS NOT NULL AS ruled_out", *shown)
+
+
+def _confirmed_by(rules: Rules) -> str:
+    """Number of the latest confirming record, the first of its day."""
+    cases = " ".join(
+        f"WHEN category = '{step.target}' THEN "
+        + by_day(
+            f"max(CASE WHEN {one_of('category', step.confirmed_by)} "
+            f"THEN {struct(day='day', event='-event_id')} END)",
+            "CURRENT ROW",
+            f"{rules.revision_days} FOLLOWING",
+        )
+        for step in rules.steps
+        if step.confirmed_by
+    )
+    return f"-(CASE {cases} END).event" if cases else "CAST(NULL AS BIGINT)"
+
+
+def _refuted_by(rules: Rules) -> str:
+    """Number of the first record that refutes an outcome of a type that records can refute."""
+    checked = one_of("category", (step.target for step in rules.steps if step.rule_out))
+    first = by_day(
+        f"min(CASE WHEN {one_of('category', rules.active_categories)} "
+        f"THEN {struct(day='day', event='event_id')} END)",
+        "1 FOLLOWING",
+        f"{rules.rule_out_days} FOLLOWING",
+    )
+    return f"IF({checked}, {first}.event, NULL)"
+
+
+def settled_step_by_step(
+    numbered: DataFrame, rules: Rules, witnesses: bool = False
+) -> DataFrame:
+    """The same for any list of steps: one fold over a person's outcome events in walk order.
+
+    The state is the sparse map of days that events have moved to, so each event sees every record
+    where the events before it left it. A person has at most one outcome event per type and day,
+    and of the other records only those are gathered whose category some step asks for.
+    """
+    asked = {c for step in rules.steps for c in (*step.moved_by, *step.confirmed_by)}
+    asked = tuple(sorted(asked | set(rules.active_categories)))
+    codes = " ".join(f"WHEN '{target}' THEN {i}" for i, target in enumerate(rules.targets))
+    event = struct(code=f"CASE category {codes} END", day="day", event_id="event_id")
+    record = struct(day="day", event_id="event_id", category="category", several="n_events > 1")
+    people = numbered.groupBy("person_id").agg(
+        F.expr(f"collect_list(IF({one_of('category', rules.targets)}, {event}, NULL)) AS events"),
+        F.expr(f"collect_list(IF({one_of('category', asked)}, {record}, NULL)) AS records"),
+    )
+
+    def of_step(values) -> str:
+        """What the event's step has, from one value per step."""
+        return f"get(array({', '.join(values)}), c.code)"
+
+    def strings(values) -> str:
+        return f"array({listed(values or ('',))})"
+
+    def spots(categories: str, moved: str, start: str, first: int, last: int) -> str:
+        """(day, number) of records of the categories that lie in a range of days by now.
+
+        Of a run only the first event moves; the others stay, and the next one stands for them.
+        """
+        here = f"coalesce(try_element_at({moved}, r.event_id), r.day)"
+        rest = struct(day="r.day", event="r.event_id + 1")
+        both = (
+            f"array({struct(day=here, event='r.event_id')}, "
+            f"IF(r.several AND {here} <> r.day, {rest}, NULL))"
+        )
+        own = f"filter(records, r -> array_contains({categories}, r.category))"
+        placed = f"flatten(transform({own}, r -> array_compact({both})))"
+        return f"filter({placed}, s -> s.day BETWEEN {start} + {first} AND {start} + {last})"
+
+    until = rules.revision_days
+    moving = of_step(strings(step.moved_by) for step in rules.steps)
+    confirming = of_step(strings(step.confirmed_by) for step in rules.steps)
+    needs_one = of_step(str(bool(step.confirmed_by)).lower() for step in rules.steps)
+    checked = of_step(str(step.rule_out).lower() for step in rules.steps)
+    # What an event sees, then where it goes, then who refutes it there.
+    sees = struct(
+        conf=spots(confirming, "state.days", "c.day", 0, until),
+        here=f"coalesce(array_max({spots(moving, 'state.days', 'c.day', 0, until)}).day, c.day)",
+    )
+    goes = struct(
+        conf="m.conf",
+        here="m.here",
+        days="IF(m.here = c.day, state.days, map_concat(state.days, map(c.event_id, m.here)))",
+    )
+    refuting = spots(strings(rules.active_categories), "m.days", "m.here", 1, rules.rule_out_days)
+    ends = struct(conf="m.conf", here="m.here", days="m.days", refuting=refuting)
+    latest = "array_max(transform(m.conf, s -> struct(s.day AS day, -s.event AS event)))"
+    verdict = struct(
+        event_id="c.event_id",
+        new_day="m.here",
+        confirmed=f"(NOT {needs_one} OR size(m.conf) > 0)",
+        confirmed_by=f"-({latest}.event)",
+        ruled_out="size(m.refuting) > 0",
+        refuted_by=f"IF({checked}, array_min(m.refuting).event, NULL)",
+    )
+    turn = f"transform(transform(array({sees}), m -> {goes}), m -> {ends})"
+    step = (
+        f"(state, c) -> get(transform({turn}, m -> struct(m.days AS days, "
+        f"concat(state.found, array({verdict})) AS found)), 0)"
+    )
+    found = struct(
+        event_id="e.event_id", new_day="e.day", confirmed="true", confirmed_by="e.event_id",
+        ruled_out="true", refuted_by="e.event_id",
+    )
+    none = f"slice(transform(events, e -> {found}), 1, 0)"
+    verdicts = people.selectExpr(
+        "person_id",
+        f"inline(aggregate(sort_array(events), struct(CAST(map() AS MAP<BIGINT, INT>) AS days, "
+        f"{none} AS found), {step}).found)",
+    )
+    shown = ["confirmed_by", "refuted_by"] if witnesses else []
+    runs = numbered.join(verdicts, ["person_id", "event_id"], "left").selectExpr(
+        *numbered.columns,
+        "true AS is_first",
+        "day AS pool_day",
+        "coalesce(confirmed, true) AS confirmed",
+        "coalesce(ruled_out, false) AS ruled_out",
+        *shown,
+        "coalesce(new_day, day) AS new_day",
+    )
+    return _move(runs)
 
 
 # --- acceptance ---------------------------------------------------------------------------------
@@ -111,7 +239,7 @@ def is_candidate(rules: Rules, targets: tuple[str, ...] | None = None) -> str:
     return f"({is_target(rules, targets)} AND ({unchecked} OR NOT ruled_out) AND confirmed)"
 
 
-def candidate(rules: Rules, *payload: str) -> str:
+def candidate(rules: Rules, *payload: str, **more: str) -> str:
     """What the fold knows of a candidate; its order is the order of acceptance."""
     codes = " ".join(f"WHEN '{target}' THEN {i}" for i, target in enumerate(rules.targets))
     return struct(
@@ -121,6 +249,7 @@ def candidate(rules: Rules, *payload: str) -> str:
         day="day",
         category="category",
         **{name: name for name in payload},
+        **more,
     )
 
 
@@ -128,7 +257,8 @@ def too_close(accepted: str, cand: str, lookups: Lookups, rules: Rules) -> str:
     """Whether an accepted outcome forbids a candidate.
 
     The distance counts one day on from the candidate before its sign is dropped, so the bound
-    is a day longer towards earlier outcomes than it looks. That is part of the definition.
+    is a day longer towards earlier outcomes than it looks. That is part of the definition, as is
+    that two types conflict only where the table has their gap in both orders.
     """
     behind = lookups.gap(rules.targets, f"{accepted}.code", f"{cand}.code")
     ahead = lookups.gap(rules.targets, f"{cand}.code", f"{accepted}.code")
@@ -137,6 +267,7 @@ def too_close(accepted: str, cand: str, lookups: Lookups, rules: Rules) -> str:
     )
     return (
         f"IF({forward_only}, {cand}.day - {accepted}.day + 1 < {behind}, "
+        f"{behind} IS NOT NULL AND {ahead} IS NOT NULL AND "
         f"abs({accepted}.day - {cand}.day + 1) < "
         f"IF({accepted}.day <= {cand}.day, {behind}, {ahead}))"
     )
@@ -185,7 +316,189 @@ def valid_outcomes(
     )
 
 
-# --- single steps of a pass ---------------------------------------------------------------------
+# --- the passes of the walk ---------------------------------------------------------------------
+
+PASS = ("target", "pass", "person_id", "event_id")
+
+
+def people_with_turns(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
+    """One row per person with ``kept``, the accepted outcomes in order, and ``turns``.
+
+    The fold is that of ``accept``, over all outcome events and not just those that records let
+    pass. A turn tells whether its event was ``picked`` (one that the gap after an earlier outcome
+    of a forward-only step removed was not), whether it was ``accepted``, how many outcomes were
+    accepted before it (``seen``), and the numbers of those that forbid it (``against``).
+    """
+    witnesses = [c for c in ("confirmed_by", "refuted_by") if c in settled.columns]
+    cursor = candidate(rules, *witnesses, fit=is_candidate(rules))
+    close = f"filter(state.kept, one -> {too_close('one', 'cand', lookups, rules)})"
+    forward = one_of("cand.code", (i for i, step in enumerate(rules.steps) if step.forward_only))
+    turn = struct(
+        cand="cand",
+        picked=f"NOT ({forward} AND size(m) > 0)",
+        accepted="cand.fit AND size(m) = 0",
+        seen="size(state.kept)",
+        against="transform(m, one -> one.event_id)",
+    )
+    step = (
+        f"(state, cand) -> get(transform(array({close}), m -> struct("
+        "IF(cand.fit AND size(m) = 0, concat(state.kept, array(cand)), state.kept) AS kept, "
+        f"concat(state.turns, array({turn})) AS turns)), 0)"
+    )
+    sample = struct(
+        cand="cand", picked="true", accepted="true", seen="0", against="array(cand.event_id)"
+    )
+    none = (
+        "struct(slice(cursors, 1, 0) AS kept, "
+        f"slice(transform(cursors, cand -> {sample}), 1, 0) AS turns)"
+    )
+    return (
+        settled.groupBy("person_id")
+        .agg(F.expr(f"collect_list(CASE WHEN {is_target(rules)} THEN {cursor} END) AS cursors"))
+        .filter("size(cursors) > 0")
+        .selectExpr("person_id", f"aggregate(sort_array(cursors), {none}, {step}) AS walk")
+        .selectExpr("person_id", "walk.kept", "walk.turns")
+    )
+
+
+def picked_events(people: DataFrame) -> DataFrame:
+    """The events taken up, with ``target`` and ``pass``, the number among the person's of that type."""
+    by_turn = Window.partitionBy("person_id", "target").orderBy("turn")
+    return (
+        people.selectExpr("person_id", "kept", "posexplode(turns) AS (turn, t)")
+        .filter("t.picked")
+        .selectExpr(
+            "person_id", "kept", "turn", "t.*", "t.cand.category AS target", "t.cand.event_id"
+        )
+        .withColumn("pass", F.row_number().over(by_turn))
+    )
+
+
+def next_outcomes(picked: DataFrame) -> DataFrame:
+    """The event that each pass of each step takes up."""
+    return picked.select(*PASS)
+
+
+def prior_flags(picked: DataFrame, rules: Rules) -> DataFrame:
+    """For each event taken up: which outcomes accepted until then lie before it or on its day."""
+    forward = one_of("target", (step.target for step in rules.steps if step.forward_only))
+    return (
+        picked.filter(f"NOT {forward}")
+        .selectExpr(*PASS, "cand.day", "explode(slice(kept, 1, seen)) AS o")
+        .selectExpr(
+            *PASS, "o.event_id AS accepted_event_id", "CAST(o.day <= day AS INT) AS prior"
+        )
+    )
+
+
+def gap_conflicts(picked: DataFrame) -> DataFrame:
+    """Each event taken up with each accepted outcome that it lies too close to."""
+    return picked.selectExpr(*PASS, "explode(against) AS accepted_event_id")
+
+
+def acceptances(picked: DataFrame) -> DataFrame:
+    """The events that the passes accept."""
+    return picked.filter("accepted").select(*PASS)
+
+
+def decisions(picked: DataFrame) -> DataFrame:
+    """What became of each event taken up, and the events that decided it.
+
+    ``event_date`` is the day after the move. An event may be refused on several grounds at
+    once; of several accepted outcomes that forbid it the one accepted first is given.
+    """
+    return picked.select(
+        *PASS,
+        to_date(F.col("cand.day")).alias("event_date"),
+        "accepted",
+        F.get("against", F.lit(0)).alias("conflicting_event_id"),
+        F.col("cand.refuted_by").alias("refuting_event_id"),
+        F.col("cand.confirmed_by").alias("confirming_event_id"),
+    )
+
+
+def event_pools(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
+    """What each step starts from: for people with an event of its type, the first event of each
+    equal group in its categories, on the days that the steps before it left."""
+    entries = []
+    for i, target in enumerate(rules.targets):
+        mine = one_of("category", pool_categories(target, lookups, rules))
+        moved = one_of("category", rules.targets[:i])
+        entry = struct(target=literal(target), at=f"IF({moved}, day, pool_day)")
+        entries.append(f"IF({mine}, {entry}, NULL)")
+    person = Window.partitionBy("person_id", "target")
+    return (
+        settled.selectExpr(
+            "person_id",
+            "event_id",
+            "category",
+            "gest_value",
+            f"inline(array_compact(array({', '.join(entries)})))",
+        )
+        .groupBy("target", "person_id", "category", F.col("at").alias("day"), "gest_value")
+        .agg(F.min("event_id").alias("event_id"))
+        .withColumn("has_target", F.bool_or(F.col("category") == F.col("target")).over(person))
+        .filter("has_target")
+        .drop("has_target")
+    )
+
+
+def pool_passes(
+    settled: DataFrame, picked: DataFrame, lookups: Lookups, rules: Rules
+) -> DataFrame:
+    """Each pool event with ``passes``, how many its person has in that step, and ``left``, the pass
+    in which it goes (null if it stays).
+
+    A pass takes away the event it took up; in a forward-only step it also takes away whatever
+    lies before the end of the gap after it.
+    """
+    days = struct(turn="turn", day="cand.day")
+    walks = picked.groupBy("target", "person_id").agg(
+        F.count("*").cast("int").alias("passes"),
+        F.expr(f"sort_array(collect_list({days})).day AS days"),
+    )
+    own = picked.select("target", "person_id", "event_id", F.col("pass").alias("own"))
+    forward = [step.target for step in rules.steps if step.forward_only]
+    cases = " ".join(
+        f"WHEN target = '{first}' AND category = '{later}' THEN {least}"
+        for (first, later), least in lookups.min_days.items()
+        if first in forward
+    )
+    gap = f"CASE {cases} END" if cases else "CAST(NULL AS INT)"
+    # Passes go forward in time: the first one close enough is the one after all that are not.
+    apart = f"size(filter(days, d -> d <= day + 1 - {gap}))"
+    by_gap = f"IF({gap} IS NULL OR {apart} >= passes, NULL, {apart} + 1)"
+    return (
+        event_pools(settled, lookups, rules)
+        .join(walks, ["target", "person_id"])
+        .join(own, ["target", "person_id", "event_id"], "left")
+        .selectExpr(
+            "target",
+            "person_id",
+            "event_id",
+            "passes",
+            f"IF({one_of('target', forward)}, {by_gap}, own) AS left",
+        )
+    )
+
+
+def removed_by_gap(pools: DataFrame, rules: Rules) -> DataFrame:
+    """Events that the gap after an accepted outcome removes, by pass, the outcome among them."""
+    forward = one_of("target", (step.target for step in rules.steps if step.forward_only))
+    return pools.filter(f"{forward} AND left IS NOT NULL").selectExpr(
+        "target", "left AS pass", "person_id", "event_id"
+    )
+
+
+def remaining_pools(pools: DataFrame) -> DataFrame:
+    """What is left of the pools after each pass, for people who had a pass then."""
+    until = "coalesce(left - 1, passes)"
+    return pools.filter(f"{until} > 0").selectExpr(
+        "target", f"explode(sequence(1, {until})) AS pass", "person_id", "event_id"
+    )
+
+
+# --- single steps -------------------------------------------------------------------------------
 
 
 def people_with_target(numbered: DataFrame, rules: Rules) -> DataFrame:
@@ -218,53 +531,6 @@ def pool_counts(numbered: DataFrame, lookups: Lookups, rules: Rules) -> DataFram
     )
 
 
-def event_pool(numbered: DataFrame, target: str, lookups: Lookups, rules: Rules) -> DataFrame:
-    """First event of each equal group, for people who have the target, in the step's categories."""
-    person = Window.partitionBy("person_id")
-    has_target = F.bool_or(F.col("category") == target).over(person)
-    return (
-        numbered.filter(F.col("category").isin(*pool_categories(target, lookups, rules)))
-        .withColumn("has_target", has_target)
-        .filter("has_target")
-        .select("person_id", "event_id", "category", "day", "gest_value")
-    )
-
-
-def next_outcome(pool: DataFrame, target: str) -> DataFrame:
-    """Earliest target event of each person in a pool."""
-    return (
-        pool.filter(F.col("category") == target)
-        .groupBy("person_id")
-        .agg(F.min(F.struct("day", "event_id")).alias("next"))
-        .select(F.lit(target).alias("target"), "person_id", "next.event_id")
-    )
-
-
-def removed_by_gap(pool: DataFrame, target: str, lookups: Lookups) -> DataFrame:
-    """Pool events that accepting a person's earliest target event removes."""
-    first = F.min(F.when(F.col("category") == target, F.col("day")))
-    gaps = {later: days for (f, later), days in lookups.min_days.items() if f == target}
-    pairs = [F.lit(item) for pair in gaps.items() for item in pair]
-    needed = F.try_element_at(F.create_map(*pairs), F.col("category"))
-    return (
-        pool.withColumn("first_day", first.over(Window.partitionBy("person_id")))
-        .filter(F.col("day") - F.col("first_day") + 1 < needed)
-        .select("person_id", "event_id")
-    )
-
-
-def pool_after_pass(pool: DataFrame, target: str) -> DataFrame:
-    """The pool without the earliest target event; people stay if they had one."""
-    order = Window.partitionBy("person_id").orderBy(
-        (F.col("category") != target).cast("int"), "day", "event_id"
-    )
-    return (
-        pool.withColumn("turn", F.row_number().over(order))
-        .filter("turn > 1")
-        .select("person_id", "event_id")
-    )
-
-
 def ruled_out(settled: DataFrame, rules: Rules) -> DataFrame:
     """Outcome events refuted by an active-pregnancy record soon after."""
     checked = tuple(step.target for step in rules.steps if step.rule_out)
@@ -299,39 +565,3 @@ def _dated(rows: DataFrame, name: str) -> DataFrame:
         to_date(F.col("found")).alias(name),
         (F.col("found") - F.col("day")).alias("date_difference"),
     )
-
-
-def prior_flags(settled: DataFrame, target: str, lookups: Lookups, rules: Rules) -> DataFrame:
-    """For each person's earliest target event: which already accepted outcomes lie before it."""
-    before = rules.through(target)[-2]
-    when = struct(pool_day="pool_day", event_id="event_id", day="day")
-    targets = f"CASE WHEN {is_target(rules, (target,))} THEN {when} END"
-    people = people_with_accepted(
-        settled, lookups, rules, through=before, collect={"targets": targets}
-    )
-    return (
-        people.filter("size(targets) > 0")
-        .selectExpr("person_id", "array_min(targets) AS cursor", "explode_outer(accepted) AS o")
-        .filter("o IS NOT NULL")
-        .selectExpr(
-            "person_id",
-            "cursor.event_id",
-            "o.event_id AS accepted_event_id",
-            "CAST(o.day <= cursor.day AS INT) AS prior",
-        )
-    )
-
-
-def gap_conflicts(settled: DataFrame, target: str, lookups: Lookups, rules: Rules) -> DataFrame:
-    """Target events that lie too close to an outcome accepted in an earlier step."""
-    before = rules.through(target)[-2]
-    targets = f"CASE WHEN {is_target(rules, (target,))} THEN {candidate(rules)} END"
-    people = people_with_accepted(
-        settled, lookups, rules, through=before, collect={"targets": targets}
-    )
-    conflict = f"exists(accepted, one -> {too_close('one', 'c', lookups, rules)})"
-    return (
-        people.selectExpr("person_id", "accepted", "explode_outer(targets) AS c")
-        .filter(f"c IS NOT NULL AND {conflict}")
-        .selectExpr("person_id", "c.event_id")
-    )

@@ -47,6 +47,9 @@ def _has_two_events(lookups: Lookups) -> str:
 def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
     """One row per accepted outcome: prior outcome, bounds of its start, and its person's evidence.
 
+    The prior outcome is the latest on an earlier day (of several on that day the one with the
+    highest event number).
+
     Columns not used further on are never collected: Catalyst prunes them from the aggregate.
     """
     collect = {rule.name: _evidence(rule) for rule in rules.start_rules}
@@ -60,7 +63,12 @@ def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFram
     )
     fields = ("day", "event_id", "category", "has_two_events")
     own = {name: f"o.{name}" for name in fields}
-    prior = {f"prior_{name}": f"get(outcomes, i - 1).{name}" for name in ("day", "category")}
+    before = "get(outcomes, i - 1)"
+    if lookups.can_share_day(rules):
+        earlier = "filter(slice(outcomes, 1, i), p -> p.day < o.day)"
+        before = f"IF({before}.day = o.day, try_element_at({earlier}, -1), {before})"
+        before = f"IF(i = 0, NULL, {before})"
+    prior = {f"prior_{name}": f"({before}).{name}" for name in ("day", "category")}
     max_term, min_term, retry = (
         lookups.term(column, "category") for column in ("max_term", "min_term", "retry")
     )

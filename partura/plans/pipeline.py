@@ -54,15 +54,30 @@ class Study:
         spark = self.settled.sparkSession
         return replace(self, saved=spark.table(table))
 
+    @cached_property
+    def outcome_runs(self) -> DataFrame:
+        """Timeline of people with an outcome event, before date moves."""
+        return tl.numbered_runs(
+            self.cdm, self.rules, starts_only=True, targets_only=True, concepts=self.drug_dimension
+        )
+
     @cached_property
     def outcome_people(self) -> DataFrame:
         """Settled timeline of people with an outcome event, as the episodes need it."""
         if self.saved is not None:
             return tl.whole_days(self.saved)
-        runs = tl.numbered_runs(
-            self.cdm, self.rules, starts_only=True, targets_only=True, concepts=self.drug_dimension
-        )
-        return oc.settled_runs(runs, self.rules)
+        return oc.settled_runs(self.outcome_runs, self.rules)
+
+    @cached_property
+    def picked(self) -> DataFrame:
+        """Every event that a pass of a step takes up, and what became of it."""
+        runs = oc.settled_runs(self.outcome_runs, self.rules, witnesses=True)
+        return oc.picked_events(oc.people_with_turns(runs, self.lookups, self.rules))
+
+    @cached_property
+    def pool_passes(self) -> DataFrame:
+        """Every event of the steps' pools, and the pass in which it leaves."""
+        return oc.pool_passes(self.outcome_people, self.picked, self.lookups, self.rules)
 
     @cached_property
     def outcome_rows(self) -> DataFrame:
@@ -74,7 +89,7 @@ class Study:
 
     @cached_property
     def best(self) -> DataFrame:
-        return ep.best_episodes(self.picks, self.rules)
+        return ep.best_episodes(self.picks, self.rules, self.lookups.can_share_day(self.rules))
 
     @cached_property
     def enrolled(self) -> DataFrame:

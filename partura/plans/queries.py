@@ -84,14 +84,10 @@ def matched(s: Study, records: Callable[[Cdm], DataFrame]) -> DataFrame:
 # --- outcome selection --------------------------------------------------------------------------
 
 
-def pool(s: Study, target: str) -> DataFrame:
-    return oc.event_pool(s.numbered, target, s.lookups, s.rules)
-
-
-def pool_rows(s: Study, target: str) -> DataFrame:
-    return pool(s, target).select(
-        "person_id", "event_id", "category", to_date(F.col("day")).alias("event_date"), "gest_value"
-    )
+def pool_rows(s: Study) -> DataFrame:
+    pools = oc.event_pools(s.settled, s.lookups, s.rules)
+    date = to_date(F.col("day")).alias("event_date")
+    return pools.select("target", "person_id", "event_id", "category", date, "gest_value")
 
 
 def accepted(s: Study, target: str) -> DataFrame:
@@ -103,12 +99,6 @@ def all_accepted(s: Study) -> DataFrame:
     return oc.valid_outcomes(s.outcome_people, s.lookups, s.rules).select("person_id", "event_id")
 
 
-def next_outcomes(s: Study) -> DataFrame:
-    """First turn of the steps that start from the unmoved timeline."""
-    first = [oc.next_outcome(pool(s, target), target) for target in ("LB", "SB", "ECT")]
-    return first[0].unionByName(first[1]).unionByName(first[2])
-
-
 # --- episodes -----------------------------------------------------------------------------------
 
 
@@ -143,21 +133,22 @@ STUDY_QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "event_timeline": lambda s: tl.event_timeline(s.numbered),
     "target_people": lambda s: oc.people_with_target(s.numbered, s.rules),
     "category_universe": lambda s: oc.pool_counts(s.numbered, s.lookups, s.rules),
-    "dedupe_events": lambda s: pool_rows(s, "ECT"),
-    "next_outcome": next_outcomes,
-    "min_gap_delete": lambda s: oc.removed_by_gap(pool(s, "LB"), "LB", s.lookups),
+    "dedupe_events": pool_rows,
+    "next_outcome": lambda s: oc.next_outcomes(s.picked),
+    "min_gap_delete": lambda s: oc.removed_by_gap(s.pool_passes, s.rules),
     "valid_lb": lambda s: accepted(s, "LB"),
     "rule_out_active": lambda s: oc.ruled_out(s.settled, s.rules),
-    "prior_flag": lambda s: oc.prior_flags(s.settled, "SB", s.lookups, s.rules),
-    "min_gap_conflict": lambda s: oc.gap_conflicts(s.settled, "SB", s.lookups, s.rules),
-    "accept_outcome": lambda s: accepted(s, "SB"),
+    "prior_flag": lambda s: oc.prior_flags(s.picked, s.rules),
+    "min_gap_conflict": lambda s: oc.gap_conflicts(s.picked),
+    "accept_outcome": lambda s: oc.acceptances(s.picked),
+    "outcome_decisions": lambda s: oc.decisions(s.picked),
     "accept_ect": lambda s: accepted(s, "ECT"),
     "ect_confirmation": lambda s: oc.confirmations(s.numbered, "ECT", s.rules),
     "ect_revised_date": lambda s: oc.revised_dates(s.numbered, "ECT", s.rules),
     "ab_revised_date": lambda s: oc.revised_dates(s.numbered, "AB", s.rules),
     "sa_revised_date": lambda s: oc.revised_dates(s.numbered, "SA", s.rules),
     "revised_timeline": lambda s: tl.event_timeline(s.settled),
-    "pool_remaining": lambda s: oc.pool_after_pass(pool(s, "SB"), "SB"),
+    "pool_remaining": lambda s: oc.remaining_pools(s.pool_passes),
     "valid_outcomes": all_accepted,
     "outcome_events": lambda s: st.outcome_events(s.outcome_rows),
     "prior_outcome_asof": lambda s: st.prior_outcomes(s.outcome_rows),

@@ -106,15 +106,21 @@ class Rules:
     def __post_init__(self) -> None:
         if self.ovul2_join not in ("reference", "corrected"):
             raise ValueError(f"ovul2_join must be 'reference' or 'corrected', not {self.ovul2_join!r}")
-        # Confirmations are read from the unmoved timeline and rule-outs from the fully moved one.
+
+    @property
+    def moves_in_rounds(self) -> bool:
+        """Whether moves and verdicts are windows over days, a few for all steps together.
+
+        That takes confirmations from the unmoved timeline and rule-outs from the fully moved one,
+        so no step may be confirmed by a type that moved before, and no active category may move.
+        """
         moved: set[str] = set()
         for step in self.steps:
             if moved & set(step.confirmed_by):
-                raise ValueError(f"{step.target} is confirmed by a type that an earlier step moves")
+                return False
             if step.moved_by:
                 moved.add(step.target)
-        if moved & set(self.active_categories):
-            raise ValueError("active_categories must not hold a type that a step moves")
+        return not moved & set(self.active_categories)
 
     @property
     def targets(self) -> tuple[str, ...]:

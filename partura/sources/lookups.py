@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from partura.functions.inline import inline_table
 from partura.functions.text import listed, lookup
+from partura.rules import Rules
 
 OUTCOME_LIMIT_SCHEMA = (
     "outcome_limit_id int, first_preg_category string, outcome_preg_category string, min_days int"
@@ -70,17 +71,11 @@ class Lookups:
     )
 
     def check(self, targets: tuple[str, ...]) -> "Lookups":
-        """Raise unless the tables keep accepted outcomes apart and evidence before its outcome.
+        """Raise unless every outcome type has its terms and evidence lies before its outcome.
 
-        Start search assigns each record to the one outcome that follows it. That is exact when
-        no two accepted outcomes share a day, a start lies after the prior outcome (retry of at
-        least 1) and not after its own (min_term of at least 0). Two outcomes can share a day only
-        where the gap from the type accepted first is under 2. Any other gap may be short, or
-        missing, which means that there is no conflict.
+        A start must lie after the prior outcome (retry of at least 1) and not after its own
+        (min_term of at least 0). Gaps may be short or missing; see ``can_share_day``.
         """
-        for pair in combinations_with_replacement(targets, 2):
-            if self.min_days.get(pair, 0) < 2:
-                raise ValueError(f"outcome_limit needs min_days >= 2 for {pair}")
         for target in targets:
             if target not in self.terms or target not in self.gestation:
                 raise ValueError(f"term_durations and gest_est need a row for {target}")
@@ -89,6 +84,20 @@ class Lookups:
                 raise ValueError(f"term_durations row for {target} is out of order")
         return self
 
+    def can_share_day(self, rules: Rules) -> bool:
+        """Whether two accepted outcomes of a person can lie on one day.
+
+        They do where the gap from the type accepted first is under 2 or does not count: it counts
+        if the table has it, and outside forward-only steps only if it has the other order too.
+        """
+        for first, later in combinations_with_replacement(rules.targets, 2):
+            least = self.min_days.get((first, later))
+            if least is None or least < 2:
+                return True
+            if not rules.step(later).forward_only and (later, first) not in self.min_days:
+                return True
+        return False
+
     @classmethod
     def from_frames(
         cls, outcome_limit: DataFrame, term_durations: DataFrame, gest_est: DataFrame

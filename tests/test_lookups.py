@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +10,6 @@ from partura import Lookups, Rules, build_episodes
 from partura.operators import timeline as tl
 from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
-from partura.rules import STEPS
 from partura.sources import results
 from partura.sources.driver_tables import driver_cdm
 from tests.clinic import CONCEPTS, clinic
@@ -87,29 +84,20 @@ def test_nondrug_events_read_no_drugs(spark):
 
 
 def test_a_missing_gap_is_no_conflict(spark):
-    """Gaps that only a later type's outcome ahead of an earlier type's would need may be missing."""
-    events = [(1, 0, "DELIV"), (1, 60, "SB"), (2, 0, "SB"), (2, 60, "DELIV")]
+    """Two types conflict only where the table has their gap in both orders."""
+    events = [(1, 0, "DELIV"), (1, 60, "SB"), (2, 0, "SB"), (2, 60, "DELIV"), (3, 0, "LB"), (3, 9, "SA")]
     gaps = Lookups().min_days
-    without = Lookups({pair: days for pair, days in gaps.items() if pair != ("DELIV", "SB")})
 
-    def accepted(lookups):
-        rows = build_episodes(clinic(spark, events), lookups).valid_outcomes.collect()
+    def accepted(*missing):
+        left = Lookups({pair: days for pair, days in gaps.items() if pair not in missing})
+        rows = build_episodes(clinic(spark, events), left).valid_outcomes.collect()
         return sorted((r.person_id, r.category) for r in rows)
 
-    assert accepted(Lookups()) == [(1, "SB"), (2, "SB")]
-    assert accepted(without) == [(1, "DELIV"), (1, "SB"), (2, "SB")]
-    with pytest.raises(ValueError, match="outcome_limit"):
-        build_episodes(
-            clinic(spark, events), Lookups({p: d for p, d in gaps.items() if p != ("LB", "SA")})
-        )
-
-
-def test_steps_that_the_rounds_do_not_cover_are_refused():
-    steps = [replace(s, confirmed_by=("AB",)) if s.target == "DELIV" else s for s in STEPS]
-    with pytest.raises(ValueError, match="confirmed"):
-        Rules(steps=tuple(steps))
-    with pytest.raises(ValueError, match="active_categories"):
-        Rules(active_categories=("AGP", "SA"))
+    both = [(1, "DELIV"), (1, "SB"), (2, "DELIV"), (2, "SB")]
+    assert accepted() == [(1, "SB"), (2, "SB"), (3, "LB")]
+    assert accepted(("DELIV", "SB")) == both + [(3, "LB")]
+    assert accepted(("SB", "DELIV")) == both + [(3, "LB")]
+    assert accepted(("LB", "SA")) == [(1, "SB"), (2, "SB"), (3, "LB"), (3, "SA")]
 
 
 def test_a_run_uses_the_lookups_beside_its_table(spark, tmp_path):

@@ -2,45 +2,67 @@
 
 from __future__ import annotations
 
-from partura.rules import STEPS
+from partura.rules import Rules
 from partura.sources.lookups import Lookups
 
 
-def walk(events: list[tuple[int, str]]) -> tuple[set[int], dict[int, int]]:
-    """Accepted event numbers and final days of one person's ``(day, category)`` events."""
+def walk(
+    events: list[tuple[int, str]], lookups: Lookups | None = None, rules: Rules | None = None
+) -> tuple[set[int], dict[int, int], list[dict]]:
+    """Accepted event numbers and final days of one person's ``(day, category)`` events, and what
+    each pass saw: its target, event, pool before and after, and grounds for refusal."""
+    lookups, rules = lookups or Lookups(), rules or Rules()
     numbered = sorted(events)
     days = {i: d for i, (d, _) in enumerate(numbered, 1)}
     kinds = {i: c for i, (_, c) in enumerate(numbered, 1)}
-    gaps = Lookups().min_days
+    gaps = lookups.min_days
     accepted: list[int] = []
-    for step in STEPS:
-        pool = {}
+    passes: list[dict] = []
+    for step in rules.steps:
+        in_pool = {c for pair in gaps for c in pair} | set(step.pool_extra)
+        groups = {}
         for i in sorted(days, reverse=True):
-            if kinds[i] == step.target:
-                pool[days[i]] = i
-        waiting = set(pool.values())
-        while waiting:
+            if kinds[i] in in_pool:
+                groups[kinds[i], days[i]] = i
+        pool = set(groups.values())
+        while waiting := [i for i in pool if kinds[i] == step.target]:
             now = min(waiting, key=lambda i: (days[i], i))
+            seen = {"target": step.target, "event": now, "accepted": list(accepted)}
             if step.forward_only:
                 accepted.append(now)
-                least = gaps[step.target, step.target]
-                waiting = {i for i in waiting if days[i] - days[now] + 1 >= least}
-                continue
-            waiting.remove(now)
+                gone = {
+                    i for i in pool
+                    if days[i] - days[now] + 1 < gaps.get((step.target, kinds[i]), -(10**9))
+                } | {now}
+                seen |= {"against": [], "active": [], "confirming": [], "good": True}
+            else:
+                gone = {now}
 
-            def near(categories):
-                return [d for i, d in days.items()
-                        if kinds[i] in categories and 0 <= d - days[now] <= 14]
+                def near(categories):
+                    return [i for i, d in days.items()
+                            if kinds[i] in categories and 0 <= d - days[now] <= rules.revision_days]
 
-            confirmed = not step.confirmed_by or bool(near(step.confirmed_by))
-            days[now] = max(near(step.moved_by), default=days[now])
-            here = days[now]
-            active = any(kinds[i] in ("AGP", "PCONF") and 0 < d - here <= 42 for i, d in days.items())
-            blocked = False
-            for other in accepted:
-                distance = abs(days[other] - here + 1)
-                pair = (other, now) if days[other] <= here else (now, other)
-                blocked |= distance < gaps[kinds[pair[0]], kinds[pair[1]]]
-            if confirmed and not active and not blocked:
-                accepted.append(now)
-    return set(accepted), days
+                confirming = sorted(near(step.confirmed_by), key=lambda i: (-days[i], i))
+                latest = max((days[i] for i in near(step.moved_by)), default=days[now])
+                days[now] = latest
+                here = days[now]
+                active = sorted(
+                    (d, i) for i, d in days.items()
+                    if kinds[i] in rules.active_categories and 0 < d - here <= rules.rule_out_days
+                )
+                against = []
+                for other in accepted:
+                    pair = kinds[other], kinds[now]
+                    if pair not in gaps or pair[::-1] not in gaps:
+                        continue
+                    first = pair if days[other] <= here else pair[::-1]
+                    if abs(days[other] - here + 1) < gaps[first]:
+                        against.append(other)
+                good = (bool(confirming) or not step.confirmed_by) and not against
+                good = good and not (active and step.rule_out)
+                seen |= {"against": against, "active": active, "confirming": confirming, "good": good}
+                if good:
+                    accepted.append(now)
+            pool = pool - gone
+            passes.append(seen | {"day": days[now], "gone": gone, "left": set(pool)})
+    return set(accepted), days, passes
