@@ -1,8 +1,8 @@
 """When each accepted outcome's pregnancy began.
 
 A start must lie after the prior outcome and no later than its own, so every record can serve only
-the outcome that follows it. Per person this is a handful of short arrays (days per kind of
-evidence, outcomes) that are matched where they lie: no join, no further shuffle.
+the outcome that follows it. Per person, the days of each kind of evidence are sorted once; each
+outcome finds its own among them by binary search and leaves with days, not with the evidence.
 """
 
 from __future__ import annotations
@@ -11,28 +11,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partura.functions.days import to_date
+from partura.functions.search import count_while, let
 from partura.functions.text import literal, one_of, struct
 from partura.operators.outcomes import by_day, people_with_accepted
 from partura.rules import Rules, StartRule
 from partura.sources.lookups import Lookups
 
 MARKERS = ("PREM", "POSTT", "FT")
+DEFAULT_MARKERS = ("PREM", "FT")  # those that the default start looks at
+COUNTS = {"PREM": "pre_count", "POSTT": "post_count", "FT": "full_count"}
 
 
 # --- outcomes with their surroundings -----------------------------------------------------------
 
 
 def _evidence(rule: StartRule) -> str:
-    """A record's implied start; for GEST with the record's day in front, which decides ties."""
+    """A record's implied start; for GEST with the record's day behind it, which decides ties."""
     if rule.shift is None:
-        value = struct(day="day", start="day + gest_value")
+        value = struct(start="day + gest_value", day="day")
     else:
         value = f"day + ({rule.shift})"
     return f"CASE WHEN {one_of('category', rule.categories)} THEN {value} END"
 
 
 def _marker(category: str) -> str:
-    return f"CASE WHEN category = '{category}' THEN {struct(day='day', n_events='n_events')} END"
+    """A marker's day and how many events of its kind there are up to that day."""
+    upto = by_day(
+        f"sum(CASE WHEN category = '{category}' THEN n_events END)",
+        "UNBOUNDED PRECEDING",
+        "CURRENT ROW",
+    )
+    return f"CASE WHEN category = '{category}' THEN {struct(day='day', upto=upto)} END"
 
 
 def _has_two_events(lookups: Lookups) -> str:
@@ -44,22 +53,32 @@ def _has_two_events(lookups: Lookups) -> str:
     return f"({same_day} >= 2 OR coalesce({earlier} >= {first}, false))"
 
 
-def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
-    """One row per accepted outcome: prior outcome, bounds of its start, and its person's evidence.
+def outcome_rows(
+    settled: DataFrame,
+    lookups: Lookups,
+    rules: Rules,
+    evidence: tuple[str, ...] | None = None,
+    markers: tuple[str, ...] = MARKERS,
+) -> DataFrame:
+    """One row per accepted outcome: prior outcome, bounds of its start, the start that each kind of
+    evidence gives it (by the rule's name), and how many markers of each kind lie around it.
 
     The prior outcome is the latest on an earlier day (of several on that day the one with the
-    highest event number).
-
-    Columns not used further on are never collected: Catalyst prunes them from the aggregate.
+    highest event number). ``evidence`` and ``markers`` name what is wanted; the rest is not gathered.
     """
-    collect = {rule.name: _evidence(rule) for rule in rules.start_rules}
-    collect |= {marker: _marker(marker) for marker in MARKERS}
+    wanted = [r for r in rules.start_rules if evidence is None or r.name in evidence]
+    collect = {rule.name: _evidence(rule) for rule in wanted}
+    found = {marker: f"_{marker}" for marker in markers}
     people = people_with_accepted(
-        settled.selectExpr("*", f"{_has_two_events(lookups)} AS has_two_events"),
+        settled.selectExpr(
+            "*",
+            f"{_has_two_events(lookups)} AS has_two_events",
+            *[f"{_marker(marker)} AS {name}" for marker, name in found.items()],
+        ),
         lookups,
         rules,
         payload=("has_two_events",),
-        collect=collect,
+        collect=collect | found,
     )
     fields = ("day", "event_id", "category", "has_two_events")
     own = {name: f"o.{name}" for name in fields}
@@ -70,25 +89,30 @@ def outcome_rows(settled: DataFrame, lookups: Lookups, rules: Rules) -> DataFram
         before = f"IF(i = 0, NULL, {before})"
     prior = {f"prior_{name}": f"({before}).{name}" for name in ("day", "category")}
     max_term, min_term, retry = (
-        lookups.term(column, "category") for column in ("max_term", "min_term", "retry")
+        lookups.term(column, "o.category") for column in ("max_term", "min_term", "retry")
     )
+    known = {name: f"o.{name}" for name in (*own, *prior)}
+    bounds = {
+        "earliest": f"o.day - {max_term}",
+        "retry": retry,
+        "lo": f"greatest(o.prior_day + {retry}, o.day - {max_term})",
+        "hi": f"o.day - {min_term}",
+    }
+    picks = {rule.name: _pick(rule, rules) for rule in wanted}
+    counts = {COUNTS[marker]: _count(marker, rules) for marker in markers}
+    bounded = {name: f"o.{name}" for name in (*known, *bounds)}
+    rows = f"transform(outcomes, (o, i) -> {struct(**own, **prior)})"
+    rows = f"transform({rows}, o -> {struct(**known, **bounds)})"
+    rows = f"transform({rows}, o -> {struct(**bounded, **picks, **counts)})"
     return (
         people.selectExpr(
-            "*", f"sort_array(transform(accepted, o -> {struct(**own)})) AS outcomes"
-        )
-        .selectExpr(
             "person_id",
-            *collect,
-            f"inline_outer(transform(outcomes, (o, i) -> {struct(**own, **prior)}))",
+            f"sort_array(transform(accepted, o -> {struct(**own)})) AS outcomes",
+            *[f"sort_array({name}) AS {name}" for name in collect],
+            *[f"array_distinct(sort_array({marker})) AS {marker}" for marker in markers],
         )
+        .selectExpr("person_id", f"inline_outer({rows})")
         .filter("event_id IS NOT NULL")
-        .selectExpr(
-            "*",
-            f"day - {max_term} AS earliest",
-            f"{retry} AS retry",
-            f"greatest(prior_day + {retry}, day - {max_term}) AS lo",
-            f"day - {min_term} AS hi",
-        )
     )
 
 
@@ -109,12 +133,26 @@ def prior_outcomes(rows: DataFrame) -> DataFrame:
 # --- single kinds of evidence -------------------------------------------------------------------
 
 
-def start_from(rule: StartRule) -> str:
-    """Start day that one kind of evidence gives an outcome row, null if none is in bounds."""
+def _pick(rule: StartRule, rules: Rules) -> str:
+    """Start day that one kind of evidence gives an outcome ``o``, null if none is in bounds.
+
+    Where the bounds depend on another person, all days that may still count are given.
+    """
+    upto = count_while(rule.name, lambda x: f"{x} <= o.hi")
+    if borrows(rule, rules):
+        below = count_while(rule.name, lambda x: f"{x} < o.earliest")
+        return let("b", below, f"slice({rule.name}, b + 1, greatest({upto} - b, 0))")
     if rule.shift is None:
-        return f"array_max(filter({rule.name}, e -> e.start BETWEEN lo AND hi)).start"
-    pick = "array_max" if rule.latest else "array_min"
-    return f"{pick}(filter({rule.name}, start -> start BETWEEN lo AND hi))"
+        below = count_while(rule.name, lambda x: f"{x}.start < o.lo")
+        upto = count_while(rule.name, lambda x: f"{x}.start <= o.hi")
+        near = f"slice({rule.name}, b + 1, greatest({upto} - b, 0))"
+        by_record = f"transform({near}, x -> {struct(day='x.day', start='x.start')})"
+        return let("b", below, f"array_max({by_record}).start")
+    if rule.latest:
+        return let("d", f"get({rule.name}, {upto} - 1)", "IF(d >= o.lo, d, NULL)")
+    below = count_while(rule.name, lambda x: f"{x} < o.lo")
+    first = f"get({rule.name}, {below})"
+    return let("d", first, "IF(d <= o.hi, d, NULL)")
 
 
 def borrows(rule: StartRule, rules: Rules) -> bool:
@@ -142,12 +180,10 @@ def start_from_borrowed_prior(rows: DataFrame, rule: StartRule, rules: Rules) ->
     lanes = f"IF({lends}, sequence(0L, {n_lanes - 1}L), array({own_lane}))"
     key = f"IF({meets}, event_id, -1)"
     lent = struct(found="true", prior_day="prior_day")
-    near = f"filter({rule.name}, start -> start BETWEEN earliest AND hi)"
     late = f"filter({rule.name}, start -> start >= greatest(lent.prior_day + retry, earliest))"
     others = [c for c in rows.columns if c != rule.name]
     return (
-        rows.selectExpr(*others, f"{near} AS {rule.name}")
-        .selectExpr("*", f"{key} AS lane_key", f"explode_outer({lanes}) AS lane")
+        rows.selectExpr("*", f"{key} AS lane_key", f"explode_outer({lanes}) AS lane")
         .selectExpr(
             "*", f"max(IF({lends}, {lent}, NULL)) OVER (PARTITION BY lane_key, lane) AS lent"
         )
@@ -163,7 +199,7 @@ def default_start(lookups: Lookups, rules: Rules) -> tuple[str, str]:
     """
 
     def seen(marker: str) -> str:
-        return f"exists({marker}, m -> {_marker_in_bounds(rules)})"
+        return f"{COUNTS[marker]} > 0"
 
     def term(column: str) -> str:
         return lookups.default_days(column, "category")
@@ -176,31 +212,28 @@ def default_start(lookups: Lookups, rules: Rules) -> tuple[str, str]:
     return f"IF({seen('PREM')}, 'PREM', 'DEFAULT')", f"greatest({after_prior}, day - {days})"
 
 
-def _marker_in_bounds(rules: Rules) -> str:
-    """Markers count from the prior outcome (or longest term) to shortly after the outcome."""
-    until = f"day + {rules.marker_days_after}"
-    return f"m.day BETWEEN greatest(prior_day, earliest) AND {until}"
+def _count(marker: str, rules: Rules) -> str:
+    """Events of a marker from the prior outcome (or longest term) to shortly after the outcome ``o``:
+    the running count at the end less that before the start."""
+    start, end = "greatest(o.prior_day, o.earliest)", f"o.day + {rules.marker_days_after}"
+    before = count_while(marker, lambda x: f"{x}.day < {start}")
+    upto = count_while(marker, lambda x: f"{x}.day <= {end}")
 
+    def total(places: str) -> str:
+        return f"coalesce(get({marker}, {places} - 1).upto, 0L)"
 
-def marker_counts(rows: DataFrame, rules: Rules) -> DataFrame:
-    def count(marker: str) -> str:
-        near = f"filter({marker}, m -> {_marker_in_bounds(rules)})"
-        return f"aggregate({near}, 0L, (total, m) -> total + m.n_events)"
+    return f"greatest({total(upto)} - {total(before)}, 0L)"
 
-    return rows.selectExpr(
-        "person_id",
-        "event_id",
-        f"{count('PREM')} AS pre_count",
-        f"{count('POSTT')} AS post_count",
-        f"{count('FT')} AS full_count",
-    )
+
+def marker_counts(rows: DataFrame) -> DataFrame:
+    return rows.select("person_id", "event_id", *COUNTS.values())
 
 
 # --- choosing -----------------------------------------------------------------------------------
 
 
 def picked_starts(rows: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
-    """Outcome rows with one start day per kind of evidence in place of the evidence."""
+    """Outcome rows with their starts, those with borrowed bounds among them."""
     borrowing = [rule for rule in rules.start_rules if borrows(rule, rules)]
     bounds = ("prior_day", "earliest", "retry", "hi") if borrowing else ()
     label, day = default_start(lookups, rules)
@@ -211,7 +244,7 @@ def picked_starts(rows: DataFrame, lookups: Lookups, rules: Rules) -> DataFrame:
         "day",
         "has_two_events",
         *bounds,
-        *[r.name if r in borrowing else f"{start_from(r)} AS {r.name}" for r in rules.start_rules],
+        *[r.name for r in rules.start_rules],
         f"{label} AS default_label",
         f"{day} AS default_day",
     )
@@ -276,10 +309,7 @@ def candidate_starts(picks: DataFrame, rules: Rules, which: str) -> DataFrame:
 def starts_of_kind(rows: DataFrame, name: str, rules: Rules) -> DataFrame:
     """Starts from one kind of evidence, as rows."""
     rule = rules.start_rule(name)
-    if borrows(rule, rules):
-        found = start_from_borrowed_prior(rows, rule, rules)
-    else:
-        found = rows.selectExpr("person_id", "event_id", f"{start_from(rule)} AS {name}")
+    found = start_from_borrowed_prior(rows, rule, rules) if borrows(rule, rules) else rows
     fields = struct(rank=f"CAST({literal(rule.rank)} AS INT)", label=literal(name), day=name)
     return _start_columns(found, f"IF({name} IS NULL, NULL, {fields})")
 

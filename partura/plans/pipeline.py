@@ -81,7 +81,16 @@ class Study:
 
     @cached_property
     def outcome_rows(self) -> DataFrame:
-        return st.outcome_rows(self.outcome_people, self.lookups, self.rules)
+        """Accepted outcomes with all that starts are chosen from."""
+        return st.outcome_rows(
+            self.outcome_people, self.lookups, self.rules, markers=st.DEFAULT_MARKERS
+        )
+
+    def outcomes_with(
+        self, evidence: tuple[str, ...] = (), markers: tuple[str, ...] = ()
+    ) -> DataFrame:
+        """Accepted outcomes with no more than these kinds of evidence and markers."""
+        return st.outcome_rows(self.outcome_people, self.lookups, self.rules, evidence, markers)
 
     @cached_property
     def picks(self) -> DataFrame:

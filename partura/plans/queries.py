@@ -150,10 +150,12 @@ STUDY_QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "revised_timeline": lambda s: tl.event_timeline(s.settled),
     "pool_remaining": lambda s: oc.remaining_pools(s.pool_passes),
     "valid_outcomes": all_accepted,
-    "outcome_events": lambda s: st.outcome_events(s.outcome_rows),
-    "prior_outcome_asof": lambda s: st.prior_outcomes(s.outcome_rows),
-    "term_marker_counts": lambda s: st.marker_counts(s.outcome_rows, s.rules),
-    "start_default": lambda s: st.default_starts(s.outcome_rows, s.lookups, s.rules),
+    "outcome_events": lambda s: st.outcome_events(s.outcomes_with()),
+    "prior_outcome_asof": lambda s: st.prior_outcomes(s.outcomes_with()),
+    "term_marker_counts": lambda s: st.marker_counts(s.outcomes_with(markers=st.MARKERS)),
+    "start_default": lambda s: st.default_starts(
+        s.outcomes_with(markers=st.DEFAULT_MARKERS), s.lookups, s.rules
+    ),
     "all_starts": lambda s: st.candidate_starts(s.picks, s.rules, "starts"),
     "best_start": lambda s: st.candidate_starts(s.picks, s.rules, "best"),
     "refined_start": lambda s: st.candidate_starts(s.picks, s.rules, "refined"),
@@ -205,7 +207,7 @@ def all_queries() -> dict[str, Query]:
     def start(name: str, mode: str, first_person: int = FIRST_PERSON) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
             s = study(driver_cdm(spark, sf_dir, first_person), rules=Rules(ovul2_join=mode))
-            return st.starts_of_kind(s.outcome_rows, name, s.rules)
+            return st.starts_of_kind(s.outcomes_with((name,)), name, s.rules)
 
         return query
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from partura.functions.joins import broadcast_if_small
 from partura.functions.runs import expand_runs
+from partura.functions.search import count_while
 from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
 from partura.rules import Rules
@@ -33,9 +35,11 @@ def episodes(spark):
 
 def test_fold_is_planned_once(episodes):
     plan = optimized(episodes)
-    assert len(re.findall(r"\baggregate\(", plan)) == 1
-    # One scan of each array of evidence, one for the array of ranked starts, one for the lane.
-    assert len(re.findall(r"\bfilter\(", plan)) <= 12
+    assert len(re.findall(r"\baggregate\(sort_array\(candidates", plan)) == 1
+    # One or two searches in each array of evidence and markers.
+    assert len(re.findall(r"\baggregate\(", plan)) <= 1 + 2 * 12
+    # One for the array of ranked starts, one for the lane, one for days that another person bounds.
+    assert len(re.findall(r"\bfilter\(", plan)) <= 3
 
 
 def test_inputs_are_read_once(episodes):
@@ -89,6 +93,26 @@ def test_unused_evidence_is_not_collected(spark):
     assert plan.count("collect_list") == 2
 
 
+def test_outcomes_leave_with_days(spark):
+    """No outcome row carries its person's evidence, but for the rule that another person bounds."""
+    rows = study(driver_cdm(spark, SMALL)).outcome_rows
+    arrays = [f.name for f in rows.schema.fields if f.dataType.typeName() == "array"]
+    assert arrays == ["OVUL2"]
+    own = study(driver_cdm(spark, SMALL), rules=Rules(ovul2_join="corrected")).outcome_rows
+    assert not [f.name for f in own.schema.fields if f.dataType.typeName() == "array"]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 100])
+def test_count_while(spark, n):
+    rng = random.Random(n)
+    values = sorted(rng.randrange(50) for _ in range(n))
+    df = spark.range(-2, 53).select("id", F.lit(values).cast("array<bigint>").alias("v"))
+    below = F.expr(count_while("v", lambda x: f"{x} < id"))
+    upto = F.expr(count_while("v", lambda x: f"{x} <= id"))
+    for row in df.select("id", below.alias("a"), upto.alias("b")).collect():
+        assert row.a == sum(v < row.id for v in values) and row.b == sum(v <= row.id for v in values)
+
+
 def test_large_side_is_not_broadcast(spark):
     df = spark.range(1000)
     tight = Rules(broadcast_bytes=10, broadcast_rows=999)
