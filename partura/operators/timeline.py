@@ -6,6 +6,8 @@ category, value), and only those counts are brought together by person.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,6 +66,27 @@ def measurement_records(cdm: Cdm) -> DataFrame:
     )
 
 
+class Concepts(NamedTuple):
+    """Concepts to match with, broadcast if that is safe, and their ids where these are few."""
+
+    table: DataFrame
+    ids: list[int] | None
+
+    def scan(self, records: DataFrame, concept_id: str) -> DataFrame:
+        """``records`` of few ids only, by a filter that reaches the scan: files and row groups without
+        any of them are skipped. More ids are left to the join alone."""
+        return records if self.ids is None else records.filter(F.col(concept_id).isin(self.ids))
+
+
+def sized(concepts: DataFrame, rules: Rules) -> Concepts:
+    """Read up to ``scan_ids`` rows of ``concepts``; where that is all of them, they are few."""
+    rows = concepts.select("concept_id").limit(rules.scan_ids + 1).collect()
+    if len(rows) > rules.scan_ids:
+        return Concepts(broadcast_if_small(concepts, rules), None)
+    ids = sorted({row.concept_id for row in rows if row.concept_id is not None})
+    return Concepts(F.broadcast(concepts), ids)
+
+
 def match(records: DataFrame, cdm: Cdm, rules: Rules) -> DataFrame:
     """Records whose concept is in the set; a record's value must fit where the set asks for one.
 
@@ -76,8 +99,10 @@ def match(records: DataFrame, cdm: Cdm, rules: Rules) -> DataFrame:
     if rules.normalize_values:
         wanted, found = F.upper(F.rtrim(wanted)), F.upper(F.rtrim(found))
     fits = ~F.col("has_value") | (wanted == ANY_VALUE) | (wanted == found)
+    concepts = sized(concepts, rules)
     return (
-        records.join(broadcast_if_small(concepts, rules), "concept_id")
+        concepts.scan(records, "concept_id")
+        .join(concepts.table, "concept_id")
         .filter(fits)
         .select(
             "category", "gest_value", "person_id", "start_date", "type", "value_as_string",
@@ -133,19 +158,19 @@ def drug_concepts(cdm: Cdm, rules: Rules) -> DataFrame:
     return drugs.select("concept_id", "concept_name").join(below, "concept_id")
 
 
-def drug_dimension(cdm: Cdm, rules: Rules) -> DataFrame:
-    """The expanded concepts as drug exposures are joined with them. Its rows may be counted here."""
+def drug_dimension(cdm: Cdm, rules: Rules) -> Concepts:
+    """The expanded concepts as drug exposures are joined with them. Their ids may be read here."""
     concepts = drug_concepts(cdm, rules).select("concept_id", "category", "gest_value")
-    return broadcast_if_small(concepts, rules)
+    return sized(concepts, rules)
 
 
-def match_drugs(cdm: Cdm, rules: Rules, concepts: DataFrame | None = None) -> DataFrame:
+def match_drugs(cdm: Cdm, rules: Rules, concepts: Concepts | None = None) -> DataFrame:
     """Drug exposures to the expanded concepts; the concept's gestation value is passed as is."""
-    if concepts is None:
-        concepts = drug_dimension(cdm, rules)
-    return cdm.drug_exposure.join(
-        concepts,
-        cdm.drug_exposure["drug_concept_id"] == concepts["concept_id"],
+    concepts = concepts or drug_dimension(cdm, rules)
+    exposures = concepts.scan(cdm.drug_exposure, "drug_concept_id")
+    return exposures.join(
+        concepts.table,
+        exposures["drug_concept_id"] == concepts.table["concept_id"],
     ).select(
         F.col("person_id").cast("long").alias("person_id"),
         "category",
@@ -162,7 +187,7 @@ def event_runs(
     rules: Rules,
     starts_only: bool = False,
     drugs: bool = True,
-    concepts: DataFrame | None = None,
+    concepts: Concepts | None = None,
 ) -> DataFrame:
     """Counted events per (person, day, category, value), with drug and other rows apart.
 
@@ -242,7 +267,7 @@ def numbered_runs(
     rules: Rules,
     starts_only: bool = False,
     targets_only: bool = False,
-    concepts: DataFrame | None = None,
+    concepts: Concepts | None = None,
 ) -> DataFrame:
     """The timeline as runs: person, day, category, value, count and first event number."""
     events = event_runs(cdm, rules, starts_only, concepts=concepts)

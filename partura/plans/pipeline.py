@@ -28,7 +28,7 @@ class Study:
     saved: DataFrame | None = None
 
     @cached_property
-    def drug_dimension(self) -> DataFrame:
+    def drug_dimension(self) -> tl.Concepts:
         """Drug concepts, whose size is checked once for all that is derived."""
         return tl.drug_dimension(self.cdm, self.rules)
 
@@ -44,14 +44,20 @@ class Study:
             return self.saved
         return oc.settled_runs(self.numbered, self.rules)
 
-    def save(self, table: str) -> "Study":
+    def save(self, table: str, buckets: int | None = None) -> "Study":
         """Write the settled runs to ``table``, replacing it, and derive everything after them from it.
 
-        The clinical events are then read once however many results are written. The table holds
-        every column that later stages need and may be dropped when they are done.
+        The clinical events are then read once however many results are written. The table is
+        bucketed by person, so that no later step by person moves it again: ``buckets`` of them, or
+        as many as shuffle partitions, which is how the runs lie already. It holds every column
+        that later stages need and may be dropped when they are done.
         """
-        self.settled.write.mode("overwrite").saveAsTable(table)
-        spark = self.settled.sparkSession
+        spark, runs = self.settled.sparkSession, self.settled
+        own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if (buckets or own) != own or not self.rules.moves_in_rounds:
+            runs = runs.repartition(buckets or own, "person_id")
+        writer = runs.write.mode("overwrite").bucketBy(buckets or own, "person_id")
+        writer.sortBy("person_id", "day").saveAsTable(table)
         return replace(self, saved=spark.table(table))
 
     @cached_property
@@ -137,16 +143,17 @@ def build_episodes(
     lookups: Lookups | None = None,
     rules: Rules | None = None,
     stage_table: str | None = None,
+    buckets: int | None = None,
 ) -> Episodes:
     """Declare the derivation. Nothing runs here but, for vocabularies whose size the plan cannot
-    bound, one count.
+    bound, one count each.
 
-    With ``stage_table`` the timeline is written there first, once for all four results; without
-    it each result reads the clinical events when it is asked for.
+    With ``stage_table`` the timeline is written there first, once for all four results, in
+    ``buckets`` by person; without it each result reads the clinical events when it is asked for.
     """
     s = study(cdm, lookups, rules)
     if stage_table is not None:
-        s = s.save(stage_table)
+        s = s.save(stage_table, buckets)
     return Episodes(
         episodes=ep.final_episodes(s.supported_episodes, s.rules),
         all_starts=ep.all_starts(s.picks, s.rules),
@@ -162,11 +169,20 @@ def run(
     lookups: Lookups | None = None,
     rules: Rules | None = None,
     mode: str = "append",
-) -> None:
-    """Derive the episodes and write them to ``table``.
+    stage_table: str | None = None,
+) -> Episodes:
+    """Derive the episodes and write them to ``table``; returns all results, still lazy.
 
-    Without ``lookups`` those beside the result table are used where ``results.init`` wrote them.
+    Without ``lookups`` those beside the result table are used where ``results.init`` wrote them, and
+    a ``cdm`` without a concept set takes the one there. With ``stage_table`` the other results
+    come from that table when they are asked for, not from the clinical events again. Where both
+    tables have as many buckets, the episodes need no shuffle on their way either.
     """
+    schema = table.rpartition(".")[0]
     if lookups is None:
-        lookups = results.find_lookups(spark, table.rpartition(".")[0])
-    results.write_episodes(build_episodes(cdm, lookups, rules).episodes, table, mode)
+        lookups = results.find_lookups(spark, schema)
+    if cdm.pregnancy_concepts is None:
+        cdm = replace(cdm, pregnancy_concepts=results.load_concepts(spark, schema))
+    done = build_episodes(cdm, lookups, rules, stage_table, results.buckets(spark, table))
+    results.write_episodes(done.episodes, table, mode)
+    return done

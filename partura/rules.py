@@ -102,6 +102,8 @@ class Rules:
     # (once) when the plan estimate alone cannot prove it.
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 500_000
+    # Concept ids up to which the scans of clinical tables filter by them.
+    scan_ids: int = 10_000
 
     def __post_init__(self) -> None:
         if self.ovul2_join not in ("reference", "corrected"):

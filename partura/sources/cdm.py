@@ -22,7 +22,7 @@ class Cdm:
     observation_period: DataFrame
     person: DataFrame
     # The user's concept set: concept_id, category, gest_value (weeks), data_value.
-    pregnancy_concepts: DataFrame
+    pregnancy_concepts: DataFrame | None = None
 
     @classmethod
     def table_names(cls) -> list[str]:
@@ -36,10 +36,19 @@ class Cdm:
         pregnancy_concepts: DataFrame | None = None,
         results_schema: str | None = None,
     ) -> "Cdm":
-        """Tables of a catalog schema; the concept set may be given or lie in the results schema."""
+        """Tables of a catalog schema; the concept set may be given or lie in the results schema.
+
+        Where it is nowhere, ``run`` takes the one beside its result table.
+        """
         if pregnancy_concepts is None and results_schema is not None:
             pregnancy_concepts = spark.table(f"{results_schema}.pregnancy_concepts")
-        return cls._load(lambda name: spark.table(f"{schema}.{name}"), pregnancy_concepts)
+
+        def read(name: str) -> DataFrame | None:
+            table = f"{schema}.{name}"
+            optional = name == "pregnancy_concepts"
+            return None if optional and not spark.catalog.tableExists(table) else spark.table(table)
+
+        return cls._load(read, pregnancy_concepts)
 
     @classmethod
     def from_parquet(

@@ -40,7 +40,16 @@ def find_lookups(spark: SparkSession, schema: str) -> Lookups | None:
     return load_lookups(spark, schema)
 
 
-def _buckets(spark: SparkSession, table: str) -> int | None:
+def load_concepts(spark: SparkSession, schema: str) -> DataFrame:
+    """The concept set beside the results."""
+    schema = schema or spark.catalog.currentDatabase()
+    return spark.table(f"{schema}.{CONCEPT_TABLE}")
+
+
+def buckets(spark: SparkSession, table: str) -> int | None:
+    """Number of buckets of a table, None if it has none or is not there."""
+    if not spark.catalog.tableExists(table):
+        return None
     rows = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").take(1)
     return int(rows[0]["data_type"]) if rows else None
 
@@ -53,9 +62,9 @@ def write_episodes(episodes: DataFrame, table: str, mode: str = "append") -> Non
     """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
-    buckets = _buckets(episodes.sparkSession, table)
-    if buckets:
-        episodes = episodes.repartition(buckets, "person_id")
+    n = buckets(episodes.sparkSession, table)
+    if n:
+        episodes = episodes.repartition(n, "person_id")
     episodes.write.insertInto(table, overwrite=mode == "overwrite")
 
 

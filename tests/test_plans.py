@@ -4,17 +4,22 @@ from __future__ import annotations
 
 import random
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from partura import build_episodes
 from partura.functions.joins import broadcast_if_small
 from partura.functions.runs import expand_runs
 from partura.functions.search import count_while
+from partura.operators import outcomes as oc
+from partura.operators import timeline as tl
 from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
 from partura.rules import Rules
 from partura.sources.driver_tables import driver_cdm
+from tests.clinic import clinic
 from tests.conftest import SMALL
 
 
@@ -93,6 +98,45 @@ def test_unused_evidence_is_not_collected(spark):
     assert plan.count("collect_list") == 2
 
 
+def test_concept_ids_reach_the_scan(spark, tmp_path):
+    cdm = clinic(spark, [(1, 0, "LB"), (2, 5, "AGP")], drugs=[(1, 0, "MTX")])
+    for name in ("condition_occurrence", "drug_exposure"):
+        getattr(cdm, name).write.parquet(f"{tmp_path}/{name}.parquet")
+        cdm = replace(cdm, **{name: spark.read.parquet(f"{tmp_path}/{name}.parquet")})
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    try:
+        pushed = [x for x in physical(study(cdm).numbered).split("PushedFilters: ")[1:]]
+        assert any("In(condition_concept_id" in x.split("ReadSchema")[0] for x in pushed)
+        drugs = physical(tl.match_drugs(cdm, Rules())).split("PushedFilters: ")[1]
+        assert "In(drug_concept_id" in drugs.split("ReadSchema")[0]
+        plain = physical(study(cdm, rules=Rules(scan_ids=1)).numbered)
+        assert "In(condition_concept_id" not in plain
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    few, many = study(cdm), study(cdm, rules=Rules(scan_ids=0))
+    assert sorted(few.numbered.collect()) == sorted(many.numbered.collect())
+
+
+def test_a_saved_stage_is_not_shuffled_by_person(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/bucketed'")
+    try:
+        done = build_episodes(driver_cdm(spark, SMALL), stage_table="bucketed.settled")
+        stage = spark.table("bucketed.settled")
+        assert len(stage.inputFiles()) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        for result in (done.valid_outcomes, done.all_starts, done.episodes):
+            moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", physical(result))
+            lanes = [m for m in moved if not m.startswith("lane_key")]
+            # Enrolment and person come to the stage, which stays; best picks per lane are another matter.
+            assert len(lanes) <= (3 if result is done.episodes else 1 if result is done.all_starts else 0), moved
+        s = study(driver_cdm(spark, SMALL), rules=Rules(ovul2_join="corrected")).save("bucketed.settled")
+        assert "Exchange" not in physical(s.picks) and "Exchange" not in physical(s.best)
+        assert "Exchange" not in physical(oc.valid_outcomes(s.outcome_people, s.lookups, s.rules))
+        s = study(driver_cdm(spark, SMALL)).save("bucketed.settled", buckets=7)
+        assert len(spark.table("bucketed.settled").inputFiles()) == 7
+    finally:
+        spark.sql("DROP DATABASE bucketed CASCADE")
+
+
 def test_outcomes_leave_with_days(spark):
     """No outcome row carries its person's evidence, but for the rule that another person bounds."""
     rows = study(driver_cdm(spark, SMALL)).outcome_rows
