@@ -8,10 +8,48 @@ from __future__ import annotations
 
 import re
 
-from partura.plans.queries import SMALL_ID_QUERIES
-from partura.rules import START_RULES
 from partura.sources.driver_tables import CONCEPT_SET
-from partura.sources.lookups import GAP_COLUMNS, GAP_ROWS, GESTATION_ROWS, TERM_ROWS
+
+# Fixed values, written out here so that a slip in the library's own tables shows.
+SMALL_ID_QUERIES = ("start_ovul2_reference", "pregnancy_episodes")
+GAP_COLUMNS = "LB SB DELIV TRO ECT AB SA".split()
+GAPS = """
+LB     182 168 168  70  70  70  70
+SB     182 168 168  70  70  70  70
+DELIV  182 168 168  70  70  70  70
+TRO    168 154 154 730  56  56 365
+ECT    168 154 154 365  56  56  56
+AB     168 154 154 365  56  56  56
+SA     168 154 154 365  56  56  56
+"""
+# Outcome: longest term, shortest term, days until the next can begin; default days of a preterm,
+# postterm, fullterm and otherwise unknown start.
+TERMS = """
+LB     301 161  28  245 285 280 280
+SB     301 100  28  196 285 280 196
+DELIV  301 140  28  245 285 280 280
+TRO    365  42  14   56  56  56  56
+ECT     84  42  14   56  56  56  56
+AB     168  42  14   70  70  70  70
+SA     139  28  14   70  70  70  70
+"""
+# Evidence: records, days from record to start, which one is taken, rank.
+STARTS = """
+LMP      LMP                     0  latest     1
+GEST     GEST                    -  latest     2
+OVUL     OVUL                  -13  earliest   3
+OVUL2    OVUL2                 -13  earliest   4
+NULS     NULS                  -89  earliest   6
+AFP      AFP                  -123  earliest   7
+AMEN     AMEN                  -55  earliest  80
+UP       UP                    -55  earliest  90
+PUSHBACK PCONF,AGP,PCOMP,TA    -55  earliest   -
+CONTRA   CONTRA                  0  latest     -
+"""
+
+
+def _table(text: str) -> list[list[str]]:
+    return [line.split() for line in text.strip().splitlines()]
 
 
 def _values(rows) -> str:
@@ -23,7 +61,12 @@ def _values(rows) -> str:
     return ", ".join(f"({', '.join(map(literal, row))})" for row in rows)
 
 
-_gap_rows = [(f, l, d) for f, row in GAP_ROWS.items() for l, d in zip(GAP_COLUMNS, row)]
+_gap_rows = [
+    (first, later, int(days))
+    for first, *row in _table(GAPS)
+    for later, days in zip(GAP_COLUMNS, row, strict=True)
+]
+_term_rows = [(category, *map(int, row)) for category, *row in _table(TERMS)]
 _gap_map = "MAP {" + ", ".join(f"'{f}>{l}': {d}" for f, l, d in _gap_rows) + "}"
 
 CTES = {
@@ -81,10 +124,10 @@ CTES = {
     "limits": f"""
         SELECT * FROM (VALUES {_values(_gap_rows)}) t(first_cat, later_cat, min_days)""",
     "terms": f"""
-        SELECT * FROM (VALUES {_values((c, *r) for c, r in TERM_ROWS.items())})
+        SELECT * FROM (VALUES {_values(row[:4] for row in _term_rows)})
             t(category, max_term, min_term, retry)""",
     "gestation": f"""
-        SELECT * FROM (VALUES {_values((c, *r) for c, r in GESTATION_ROWS.items())})
+        SELECT * FROM (VALUES {_values((row[0], *row[4:]) for row in _term_rows)})
             t(category, preterm, postterm, fullterm, nodata)""",
     # --- timeline
     "m_cond": """
@@ -282,14 +325,15 @@ CTES = {
 }
 
 
-def _start(rule, lo: str = "b.lo", extra: str = "") -> str:
+def _start(row: list[str], lo: str = "b.lo", extra: str = "") -> str:
     """One kind of evidence by a range join and the pick of one row per outcome."""
-    shift = "CAST(trunc(1 - r.gest_value) AS INTEGER)" if rule.shift is None else f"({rule.shift})"
-    categories = ", ".join(f"'{c}'" for c in rule.categories)
-    order = "r.event_date DESC, s DESC" if rule.latest else "s"
-    rank = "CAST(NULL AS INTEGER)" if rule.rank is None else str(rule.rank)
+    name, records, days, pick, rank = row
+    shift = "CAST(trunc(1 - r.gest_value) AS INTEGER)" if days == "-" else f"({days})"
+    categories = ", ".join(f"'{c}'" for c in records.split(","))
+    order = "r.event_date DESC, s DESC" if pick == "latest" else "s"
+    rank = "CAST(NULL AS INTEGER)" if rank == "-" else rank
     return f"""
-        SELECT person_id, event_id, s AS episode_start_date, '{rule.name}' AS category,
+        SELECT person_id, event_id, s AS episode_start_date, '{name}' AS category,
                {rank} AS date_rank
         FROM (SELECT b.person_id, b.event_id, r.event_date + {shift} AS s,
                      row_number() OVER (PARTITION BY b.person_id, b.event_id
@@ -300,11 +344,11 @@ def _start(rule, lo: str = "b.lo", extra: str = "") -> str:
         WHERE pick = 1"""
 
 
-for _rule in START_RULES:
-    CTES[f"s_{_rule.name.lower()}"] = _start(_rule)
-_ovul2 = next(rule for rule in START_RULES if rule.name == "OVUL2")
+_starts = {row[0]: row for row in _table(STARTS)}
+for _name, _row in _starts.items():
+    CTES[f"s_{_name.lower()}"] = _start(_row)
 CTES["s_ovul2_reference"] = _start(
-    _ovul2,
+    _starts["OVUL2"],
     lo="greatest(q.prior_outcome_date + b.retry, b.event_date - b.max_term)",
     extra="JOIN prior q ON q.person_id = q.event_id AND q.event_id = b.event_id",
 )
