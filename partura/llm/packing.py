@@ -19,7 +19,7 @@ PIECE = 4096
 END = 2
 RANKS = 2000  # rows that are numbered in one window group
 
-_PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
+_PIECES = "doc_id long, start long, length int, ids_crc32 long, doc_tokens long, row long"
 
 
 def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
@@ -66,6 +66,7 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
 def _cut(path: str, end: int, piece: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
+        rows = 0
         for batch in batches:
             doc, start, length, crc, total = [], [], [], [], []
             for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
@@ -74,9 +75,10 @@ def _cut(path: str, end: int, piece: int):
                     part = ids[lo : lo + piece]
                     doc.append(doc_id), start.append(lo), length.append(len(part)), total.append(len(ids))
                     crc.append(zlib.crc32(part.tobytes()))
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64())
-            columns = (doc, start, length, crc, total)
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "row"]
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            columns = (doc, start, length, crc, total, range(rows, rows + len(doc)))
+            rows += len(doc)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return run
@@ -154,7 +156,7 @@ def pack(
     slots = spark.sparkContext.broadcast(_slots(shortest_pack_first(counts, length)))
     salts = [-(-counts.get(k, 0) // RANKS) or 1 for k in range(piece + 1)]
     table = F.array(*[F.lit(n) for n in salts])
-    own = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.get(table, F.col("length"))))
+    own = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start", "row"), F.get(table, F.col("length"))))
     cells = own.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
