@@ -19,6 +19,8 @@ TOLERANCE = 1e-6
 WHOLE = 0.01  # share of the target weight that cells taken whole may hold where no budget is given
 STEPS = 32  # steps of the logarithm by which the common factor is looked for
 MISSING = "(none)"
+CELLS = 50_000  # cells of which one task holds all
+AT_ONCE = 2  # rounds of such cells between two looks at how far they have come
 
 
 def topic(text: Column) -> Column:
@@ -63,34 +65,51 @@ def _target(cells: DataFrame, margin: str, goal: float | dict[str, float]) -> Da
     return share.select(f"_{margin}", (F.col("t") / total).alias(f"t_{margin}"))
 
 
+def _with_sums(new: DataFrame, margin: str, few: bool) -> DataFrame:
+    """`new` with `_sum`, the weight of the cell's value of a margin, and `_whole`, that of its whole cells."""
+    whole = "sum(IF(weight >= tokens, weight, 0D))"
+    if few:
+        value = f"OVER (PARTITION BY _{margin})"
+        return new.selectExpr("*", f"sum(weight) {value} AS _sum", f"{whole} {value} AS _whole")
+    sums = new.groupBy(f"_{margin}").agg(F.expr("sum(weight) AS _sum"), F.expr(f"{whole} AS _whole"))
+    return new.join(sums, f"_{margin}")
+
+
+def _scaled(goal: str, bound: bool) -> str:
+    """A cell's weight after its value's sum is brought to the goal; with `bound` as far as whole cells let it."""
+    plain = f"IF(_sum > 0, weight * {goal} / _sum, 0D)"
+    if not bound:
+        return plain
+    raised = f"weight * ({goal} - _whole) / (_sum - _whole)"
+    short = f"CASE WHEN weight >= tokens THEN weight WHEN _sum > _whole THEN {raised} END"
+    return f"least(IF({goal} > _sum, coalesce({short}, weight), {plain}), CAST(tokens AS DOUBLE))"
+
+
 def _rounds(ws: Workspace, now: DataFrame, name: str, bound: bool, rounds: int, tolerance: float) -> DataFrame:
     """`now` with `weight` scaled to the goals `t_source`, `t_lang`, `t_topic` in turn; with `bound` to `tokens` at most.
 
     Rounds end when a whole round changes no weight by more than `tolerance` of itself, or after `rounds`. A bounded value
-    that lacks weight gets it from its cells that are not whole yet. Sums by a margin are combined before they move, so a
-    source with very many cells is one row of them.
+    that lacks weight gets it from its cells that are not whole yet. Up to CELLS cells, counted first, several rounds are one
+    pass of one task over the cells; beyond, sums by a margin are combined before they move, so a
+    source with very many cells is one row of them. Either way the weights are the same.
     """
     now = ws.save(now, f"{name}0")
-    for k in range(rounds):
-        new = now.withColumn("_was", F.col("weight"))
-        for m in MARGINS:
-            goal, whole = F.col(f"t_{m}"), F.col("weight") >= F.col("tokens")
-            sums = new.groupBy(f"_{m}").agg(
-                F.sum("weight").alias("_sum"), F.sum(F.when(whole, F.col("weight")).otherwise(0.0)).alias("_whole")
-            )
-            scaled = F.when(F.col("_sum") > 0, F.col("weight") * goal / F.col("_sum")).otherwise(0.0)
-            if bound:
-                raised = F.col("weight") * (goal - F.col("_whole")) / (F.col("_sum") - F.col("_whole"))
-                short = (goal > F.col("_sum")) & (F.col("_sum") > F.col("_whole"))
-                raised = F.when(whole, F.col("weight")).when(short, raised)
-                scaled = F.when(goal > F.col("_sum"), F.coalesce(raised, F.col("weight"))).otherwise(scaled)
-                scaled = F.least(scaled, F.col("tokens").cast("double"))
-            new = new.join(sums, f"_{m}").withColumn("weight", scaled).drop("_sum", "_whole")
-        now = ws.save(new, f"{name}{k + 1}").drop("_was")
-        change = F.max(F.abs(F.col("weight") - F.col("_was")) / F.greatest("_was", F.lit(1e-300)))
-        moved = ws.spark.read.schema(new.schema).parquet(ws.path(f"{name}{k + 1}")).agg(change.alias("c")).first()["c"]
-        ws.drop(f"{name}{k}")
-        if k and (moved is None or moved <= tolerance):
+    few = now.count() <= CELLS
+    done = 0
+    while done < rounds:
+        new, last = now.coalesce(1) if few else now, done
+        done = min(rounds, done + (AT_ONCE if few else 1))
+        for k in range(last, done):
+            if k + 1 == done:
+                new = new.withColumn("_was", F.col("weight"))
+            for m in MARGINS:
+                own = [c for c in new.columns if c != "weight"]
+                new = _with_sums(new, m, few).selectExpr(*own, f"{_scaled(f't_{m}', bound)} AS weight")
+        saved = ws.save(new, f"{name}{done}")
+        moved = saved.selectExpr("max(abs(weight - _was) / greatest(_was, 1e-300D)) AS c").first()["c"]
+        now = saved.drop("_was")
+        ws.drop(f"{name}{last}")
+        if done > 1 and (moved is None or moved <= tolerance):
             break
     return now
 
