@@ -571,6 +571,8 @@ def all_oracles() -> dict[str, str]:
         return f"WITH RECURSIVE {ctes}\n{final}"
 
     statements = {name: statement(final) for name, final in FINAL.items()}
+    for name in ("valid_outcomes", "pregnancy_episodes"):
+        statements[f"{name}_early"] = statements[name]
     for name in SMALL_ID_QUERIES:
         statements[f"{name}_small_ids"] = statements[name].replace("+ 1000001", "+ 0")
     return statements

@@ -6,6 +6,7 @@ category, value), and only those counts are brought together by person.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from partura.functions.days import to_date, to_day
 from partura.functions.joins import broadcast_if_small
+from partura.functions.membership import field_of, maybe_in
 from partura.functions.runs import expand_runs
 from partura.functions.text import literal, one_of
 from partura.rules import Rules
@@ -179,6 +181,12 @@ def match_drugs(cdm: Cdm, rules: Rules, concepts: Concepts | None = None) -> Dat
     )
 
 
+def outcome_people_field(cdm: Cdm, rules: Rules) -> DataFrame:
+    """Who may have an outcome event, as a bit field of fixed size, from the outcome concepts alone."""
+    wanted = cdm.pregnancy_concepts.filter(F.col("category").isin(*rules.targets))
+    return field_of(raw_events(replace(cdm, pregnancy_concepts=wanted), rules), "person_id")
+
+
 # --- counting -----------------------------------------------------------------------------------
 
 
@@ -188,9 +196,12 @@ def event_runs(
     starts_only: bool = False,
     drugs: bool = True,
     concepts: Concepts | None = None,
+    people: DataFrame | None = None,
 ) -> DataFrame:
     """Counted events per (person, day, category, value), with drug and other rows apart.
 
+    With ``people``, a bit field, rows of anyone who is surely not in it are left out where they lie.
+
     A gestation that is missing or too long becomes null, which marks it as invalid. With
     ``starts_only`` the value is the whole number of days from a GEST record back to the start
     it implies. That is all the episodes need, and it bounds the runs of a person by days and
@@ -204,6 +215,7 @@ def event_runs(
         F.when(F.col("gest_value") <= limit, F.col("gest_value")).alias("gest_value"),
         F.lit(False).alias("is_drug"),
     )
+    coded = coded if people is None else maybe_in(coded, "person_id", people)
     events = coded
     if drugs:
         matched = match_drugs(cdm, rules, concepts).select(
@@ -213,6 +225,7 @@ def event_runs(
             "gest_value",
             F.lit(True).alias("is_drug"),
         )
+        matched = matched if people is None else maybe_in(matched, "person_id", people)
         events = coded.unionByName(matched)
     events = events.filter(F.col("category").isNotNull())
     if starts_only:
@@ -270,7 +283,9 @@ def numbered_runs(
     concepts: Concepts | None = None,
 ) -> DataFrame:
     """The timeline as runs: person, day, category, value, count and first event number."""
-    events = event_runs(cdm, rules, starts_only, concepts=concepts)
+    early = targets_only and rules.early_people
+    people = outcome_people_field(cdm, rules) if early else None
+    events = event_runs(cdm, rules, starts_only, concepts=concepts, people=people)
     runs = eligible_runs(events, rules, targets_only)
     return runs.drop("n_coded", "n_drug")
 

@@ -193,13 +193,19 @@ START_QUERIES = {
 }
 
 
+# Also run with people left out before their rows are counted.
+EARLY_QUERIES = ("valid_outcomes", "pregnancy_episodes")
 # Also run with person ids from 1 on, so that ids and event numbers meet.
 SMALL_ID_QUERIES = ("start_ovul2_reference", "pregnancy_episodes")
 
 
 def all_queries() -> dict[str, Query]:
-    def plain(make: Callable[[Study], DataFrame], first_person: int = FIRST_PERSON) -> Query:
-        return lambda spark, sf_dir: make(study(driver_cdm(spark, sf_dir, first_person)))
+    def plain(
+        make: Callable[[Study], DataFrame],
+        first_person: int = FIRST_PERSON,
+        rules: Rules | None = None,
+    ) -> Query:
+        return lambda spark, sf_dir: make(study(driver_cdm(spark, sf_dir, first_person), rules=rules))
 
     def lookup(make: Callable[[Study, SparkSession], DataFrame]) -> Query:
         return lambda spark, sf_dir: make(study(driver_cdm(spark, sf_dir)), spark)
@@ -216,6 +222,8 @@ def all_queries() -> dict[str, Query]:
         **{name: lookup(make) for name, make in LOOKUP_QUERIES.items()},
         **{name: start(*how) for name, how in START_QUERIES.items()},
     }
+    for name in EARLY_QUERIES:
+        queries[f"{name}_early"] = plain(STUDY_QUERIES[name], rules=Rules(early_people=True))
     for name in SMALL_ID_QUERIES:
         if name in START_QUERIES:
             queries[f"{name}_small_ids"] = start(*START_QUERIES[name], first_person=0)

@@ -102,6 +102,9 @@ class Rules:
     # (once) when the plan estimate alone cannot prove it.
     broadcast_bytes: int = 64 * 1024 * 1024
     broadcast_rows: int = 500_000
+    # Read the coded domains once more, for outcome concepts alone, and leave out rows of people
+    # without any before they are counted. Pays where few of the people have an outcome.
+    early_people: bool = False
     # Concept ids up to which the scans of clinical tables filter by them.
     scan_ids: int = 10_000
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from partura import build_episodes
 from partura.functions.joins import broadcast_if_small
+from partura.functions.membership import field_of, maybe_in
 from partura.functions.runs import expand_runs
 from partura.functions.search import count_while
 from partura.operators import outcomes as oc
@@ -117,6 +118,25 @@ def test_concept_ids_reach_the_scan(spark, tmp_path):
     assert sorted(few.numbered.collect()) == sorted(many.numbered.collect())
 
 
+def test_people_without_outcomes_do_not_move(spark):
+    """With a bit field of 4 bits some people pass by chance; the result is the same."""
+    events = [(p, 0, "LB") for p in range(1, 30, 3)] + [(p, d, "AGP") for p in range(1, 300) for d in (1, 9)]
+    cdm = clinic(spark, events, drugs=[(p, 5, "CONTRA") for p in range(1, 300)])
+    rules = Rules(early_people=True)
+    field = tl.outcome_people_field(cdm, rules)
+    assert field.count() <= 10
+    moved = tl.event_runs(cdm, rules, people=field)
+    assert {r.person_id for r in moved.collect()} == set(range(1, 30, 3))
+    early, plain = study(cdm, rules=rules), study(cdm)
+    assert sorted(early.outcome_runs.collect()) == sorted(plain.outcome_runs.collect())
+    plan = physical(study(cdm, rules=rules).outcome_runs)
+    # The field is met below the count, on both sides of the union.
+    assert plan.index("HashAggregate") < plan.index("BroadcastHashJoin [word")
+    assert plan.count("BroadcastHashJoin [word") == 2
+    some = maybe_in(spark.range(1000), "id", field_of(spark.range(3), "id", 6), 6)
+    assert {0, 1, 2} <= {r.id for r in some.collect()} and some.count() < 200
+
+
 def test_a_saved_stage_is_not_shuffled_by_person(spark, tmp_path):
     spark.sql(f"CREATE DATABASE bucketed LOCATION '{tmp_path}/bucketed'")
     try:
