@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from partura.llm.shipping import map_arrow
+from partura.llm.shipping import frugal, map_arrow
 from partura.llm.storage import Workspace
 from partura.llm.tokens import encoder
 
@@ -151,7 +151,7 @@ def pack(
     spark = docs.sparkSession
     ws = ws or Workspace(spark, "packing")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    cut = ws.save(map_arrow(texts, _cut(vocabulary, end, piece), _PIECES), "pieces")
+    cut = ws.save(map_arrow(texts, frugal(_cut(vocabulary, end, piece)), _PIECES), "pieces")
     counts = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.sparkContext.broadcast(_slots(shortest_pack_first(counts, length)))
     salts = [-(-counts.get(k, 0) // RANKS) or 1 for k in range(piece + 1)]

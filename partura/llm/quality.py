@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partura.llm.shipping import map_arrow
+from partura.llm.shipping import frugal, map_arrow
 from partura.llm.words import chunks, mix, word_hashes
 
 LABELLED = 4_000  # labelled documents to learn from, at most
@@ -324,8 +324,8 @@ def train(docs: DataFrame, labels: DataFrame, metadata: list[str]) -> Model | No
     names = ["_id", "_clean", *(f"_m{k}" for k in range(len(metadata)))]
     examples = own.join(picked, "_id").select(*names, "_text")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in examples.select(*names).schema.fields)
-    described = map_arrow(examples, _described(names), f"{kinds}, _features array<int>, _shape array<double>")
-    models = map_arrow(described.repartition(1), _learned(metadata), "model binary").collect()
+    described = map_arrow(examples, frugal(_described(names)), f"{kinds}, _features array<int>, _shape array<double>")
+    models = map_arrow(described.repartition(1), frugal(_learned(metadata)), "model binary").collect()
     return pickle.loads(models[0].model) if models else None
 
 
@@ -365,7 +365,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
     schema = f"{kinds}, p_text double, p_meta double, score double"
-    return map_arrow(given, _score(shared, names, text_at), schema)
+    return map_arrow(given, frugal(_score(shared, names, text_at)), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
