@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from partura.llm.components import components
 from partura.llm.groups import Forest, block_pairs, bounds, grouped
-from partura.llm.shipping import map_arrow
+from partura.llm.shipping import frugal, map_arrow
 from partura.llm.storage import Workspace
 from partura.llm.words import mix, shingle_sets
 
@@ -166,8 +166,10 @@ def _confirm(percent: int):
             sets = [s for c in table.column(4).chunks for s in shingle_sets(c)]
             at, a, b = bounds(table, 3), [], []
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
-                for i, j in exact_links(sets[lo:hi], percent) if hi - lo > 1 else ():
-                    a.append(int(ids[lo + i])), b.append(int(ids[lo + j]))
+                # A doc_id of several rows may also have a text without words, which links with nothing.
+                some = [k for k in range(lo, hi) if len(sets[k])]
+                for i, j in exact_links([sets[k] for k in some], percent) if len(some) > 1 else ():
+                    a.append(int(ids[some[i]])), b.append(int(ids[some[j]]))
             yield _links(a, b)
 
     return run
@@ -176,7 +178,7 @@ def _confirm(percent: int):
 def _in_blocks(df: DataFrame, group: str, run) -> DataFrame:
     """Rows (group, bi, bj, id, payload) of a pair of blocks together, through `run`."""
     dealt = df.repartition(group, "bi", "bj").sortWithinPartitions(group, "bi", "bj")
-    return map_arrow(dealt, run, "a long, b long")
+    return map_arrow(dealt, frugal(run), "a long, b long")
 
 
 def near_duplicates(
@@ -200,12 +202,12 @@ def near_duplicates(
     A pair at the bound shares no band with probability (1 - 0.75^4)^32 = 5e-6. Null or empty texts and texts of
     white space have an empty set and link with nothing. Rows with one doc_id are one document: they share its
     component. A row with a null doc_id gets its n_shingles, a null component_id and is kept. Other columns are
-    ignored.
+    ignored. An empty table gives no rows.
     """
     ws = ws or Workspace(docs.sparkSession, "minhash")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sig binary"
-    prints = ws.save(map_arrow(docs, _fingerprints, schema), "prints")
+    prints = ws.save(map_arrow(docs, frugal(_fingerprints), schema), "prints")
     known = prints.where("digest is not null and doc_id is not null")
     first = ws.save(known.groupBy("digest").agg(F.min("doc_id").alias("rep")), "first")
     reps = ws.save(
@@ -238,9 +240,14 @@ def near_duplicates(
     texts = docs.join(ids, docs.doc_id == ids.node).dropDuplicates(["doc_id", "text"])
     dealt = block_pairs(texts, F.col("n"), "doc_id", block).select("component", "bi", "bj", "doc_id", "text")
     rep = prints.select("doc_id", "n_shingles", "digest").join(first, "digest", "left")
-    # Rows with one doc_id and different sets are one document.
-    several = rep.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
-    same = rep.join(several, "doc_id").select("a", F.col("rep").alias("b"))
+    # Rows with one doc_id and different sets, or none, are one document.
+    several = rep.where("doc_id is not null").groupBy("doc_id")
+    several = several.agg(F.min("rep").alias("a"), F.max("rep").alias("z"), F.count_if(F.col("rep").isNull()).alias("blank"))
+    several = ws.save(several.where("a is not null and (a <> z or blank > 0)"), "several")
+    own = F.broadcast(several) if several.count() <= BROADCAST_IDS else several
+    same = rep.join(own.where("a <> z"), "doc_id").where("rep is not null").select("a", F.col("rep").alias("b"))
+    if not several.where("blank > 0").isEmpty():
+        rep = rep.join(own.select("doc_id", "a"), "doc_id", "left").withColumn("rep", F.coalesce("rep", "a")).drop("a")
     exact = components(ws, _in_blocks(dealt, "component", _confirm(percent)).union(same), "exact")
     ws.drop("reps", "buckets", "members", "coarse_components")
     named = rep.join(exact, rep.rep == exact.node, "left")
@@ -248,3 +255,31 @@ def near_duplicates(
     return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, miss: float = MISS, ws: Workspace | None = None) -> DataFrame:
+    """`docs` (doc_id, text) with one row of each group of near duplicates.
+
+    Of a component the rows of its smallest doc_id stay. Rows that repeat a doc_id, or a text without a doc_id, are one
+    document, of which one row stays: the least by a hash of the text. So empty texts with different ids all stay. Rows of
+    documents that have one row are not moved. An empty table gives no rows; all columns are kept.
+    """
+    ws = ws or Workspace(docs.sparkSession, "one")
+    name = "_" * max(map(len, docs.columns)) + "key"
+    # Texts without an id are named by a hash, beyond the ids that are in use.
+    nameless = F.lit(1 << 62) + F.pmod(F.xxhash64(F.col("text").cast("string")), F.lit(1 << 62))
+    keyed = docs.withColumn(name, F.coalesce(F.col("doc_id").cast("long"), nameless))
+    found = near_duplicates(keyed.select(F.col(name).alias("doc_id"), "text"), percent, miss, ws=ws)
+    marks = found.groupBy(F.col("doc_id").alias(name)).agg(
+        F.bool_or("kept").alias("_kept"), (F.count("*") > 1).alias("_several")
+    )
+    marks = ws.save(marks.where("_several or not _kept"), "marks")
+    several = marks.where("_several and _kept")
+    some = not several.isEmpty()
+    few = marks.count() <= BROADCAST_IDS
+    single = keyed.join(F.broadcast(marks) if few else marks, name, "left_anti").drop(name)
+    if not some:
+        return single
+    repeated = keyed.join(F.broadcast(several) if few else several, name, "left_semi")
+    least = F.min_by(F.struct(*docs.columns), F.xxhash64(F.col("text").cast("string"))).alias("_row")
+    return single.unionByName(repeated.groupBy(name).agg(least).select("_row.*"))

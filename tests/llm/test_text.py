@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from partura.llm import fingerprints as fp
+from partura.llm import minhash
 from partura.llm.lines import dedup_lines
-from partura.llm.minhash import exact_links, least_matches, near_duplicates
+from partura.llm.minhash import exact_links, least_matches, near_duplicates, one_of_each
 from partura.llm.mixing import mix
 from partura.llm.packing import pack, shortest_pack_first
 from partura.llm.quality import classify
@@ -109,6 +110,32 @@ def test_a_document_with_two_texts_is_one(spark):
     assert {r.component_id for r in near_duplicates(frame(spark, rows)).collect()} == {1}
 
 
+def test_empty_texts_under_repeated_ids(spark):
+    rnd = random.Random(7)
+    w, v = prose(rnd, 40), prose(rnd, 40)
+    rows = [(1, w), (2, v), (3, w), (3, v), (2, ""), (3, ""), (1, ""), (9, ""), (4, None), (4, w)]
+    found = near_duplicates(frame(spark, rows)).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 1, 9: 9}
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_one_of_each_group_stays(spark, monkeypatch, few):
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", few)
+    rnd = random.Random(9)
+    w = prose(rnd, 60)
+    near = " ".join([*w.split()[:-1], "end"])
+    lone, other, last = prose(rnd, 30), prose(rnd, 30), prose(rnd, 30)
+    rows = [(None, w), (None, w), (4, w), (4, w), (5, near)]
+    rows += [(6, lone), (7, ""), (8, ""), (8, ""), (9, None), (None, other), (None, other), (None, ""), (10, last)]
+    kept = [(r.doc_id, r.text) for r in one_of_each(frame(spark, rows)).collect()]
+    want = [(4, w), (6, lone), (7, ""), (8, ""), (9, None), (None, other), (None, ""), (10, last)]
+    assert Counter(kept) == Counter(want)
+    full = one_of_each(frame(spark, rows))
+    assert full.columns == frame(spark, rows).columns
+    assert one_of_each(frame(spark, [])).count() == 0
+
+
 def test_exact_links_and_pruning():
     rnd = np.random.default_rng(1)
     sets = [np.unique(rnd.integers(0, 40, 30).astype(np.uint64)) for _ in range(40)]
