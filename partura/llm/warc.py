@@ -32,9 +32,10 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST) -> None:
     `path`/records holds each record's exact header bytes and the digest of its payload. Of equal payloads of at
     least `least` bytes, the record with the smallest page_id is a response and the others are revisits of it.
     Smaller ones are all responses. Records without a page_id are responses always; rows with the same page_id
-    and payload are all what that page_id is. A null url
-    is as empty. Payloads never move to be compared: digests do, with an independent hash
-    and the length, and a digest that stands for two payloads fails the job.
+    and payload are all what that page_id is. A null url is as empty. Payloads never move to be compared: digests do, with
+    an independent hash and the length, and a digest that stands for two payloads fails the job. Of those with several
+    rows that of the smallest page_id is stored, from where it lies; only where rows repeat that page_id are they brought
+    together, to keep one.
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(
@@ -77,13 +78,22 @@ def write_archive(pages: DataFrame, path: str, least: int = LEAST) -> None:
     ]
     records.select(F.concat(*head).cast("binary").alias("header"), "digest").write.parquet(f"{path}/records")
     # One row for each digest goes to the store: rows of other page_ids stay where they are.
-    extra = found.join(first, "digest").where("page_id <> first_id").select(F.col("page_id").alias("_other"), "digest")
-    extra = extra.distinct()
-    extra = F.broadcast(extra) if extra.count() <= BROADCAST_IDS else extra
+    owner = found.join(first, "digest").withColumn("own", F.col("page_id").eqNullSafe(F.col("first_id")))
+    extra = ws.save(owner.where("not own").select(F.col("page_id").alias("_other"), "digest").distinct(), "extra")
+    again = owner.where("own").groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    again = ws.save(again, "again")
     digests = rows.select(F.sha2("payload", 256).alias("digest"), "payload", "page_id")
-    kept = digests.join(extra, (digests.digest == extra.digest) & (F.col("page_id") == F.col("_other")), "left_anti")
-    kept.select("digest", "payload").write.parquet(f"{path}/payloads")
-    ws.drop("found", "first")
+    same = (F.col("k.digest") == F.col("x.digest")) & F.col("page_id").eqNullSafe(F.col("_other"))
+    kept = digests.alias("k").join(_small(extra).alias("x"), same, "left_anti").select("digest", "payload")
+    if not again.isEmpty():
+        repeated = kept.join(_small(again), "digest", "left_semi").dropDuplicates(["digest"])
+        kept = kept.join(_small(again), "digest", "left_anti").unionByName(repeated)
+    kept.write.parquet(f"{path}/payloads")
+    ws.drop("found", "first", "extra", "again")
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -93,8 +103,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """
     records = spark.read.schema("header binary, digest string").parquet(f"{path}/records")
     payloads = spark.read.schema("digest string, payload binary").parquet(f"{path}/payloads")
-    once = payloads.dropDuplicates(["digest"])
-    joined = records.join(once, "digest", "left")
+    joined = records.join(payloads, "digest", "left")
     payload = F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(
         F.raise_error(F.concat(F.lit("payload missing or damaged: "), F.col("digest"))).cast("binary")
     )
@@ -102,30 +111,40 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def record_bytes(records: DataFrame) -> DataFrame:
-    """The original records: header, block and the closing line ends. A revisit's block has no payload."""
+    """`records` with `record`, the original bytes: header, block and the closing line ends. A revisit's block has no payload."""
     revisit = F.col("header").cast("string").contains(f"{CRLF}WARC-Refers-To: ")
     body = F.when(revisit, F.lit("").cast("binary")).otherwise(F.col("payload"))
     end = F.lit(CRLF + CRLF).cast("binary")
-    return records.select(F.concat("header", F.lit(HTTP).cast("binary"), body, end).alias("record"))
+    return records.select("*", F.concat("header", F.lit(HTTP).cast("binary"), body, end).alias("record"))
 
 
 def _field(name: str, pattern: str = "([^\\r\\n]*)") -> Column:
-    text = F.col("header").cast("string")
-    value = F.regexp_extract(text, f"\\r\\n{name}: {pattern}\\r\\n", 1)
+    value = F.regexp_extract("head", f"\\r\\n{name}: {pattern}\\r\\n", 1)
     return F.when(value != "", value)
 
 
 def parse(records: DataFrame) -> DataFrame:
-    """page_id, url, payload, its digest in the header, record type and refers_to, from records."""
+    """page_id, url, payload, its digest in the header, record type and refers_to, from `record` alone.
+
+    The header's Content-Length, counted back from the record's end, says where the block starts. A revisit's record holds
+    no payload; its `payload` is that of the record it refers to, as `records` has it.
+    """
+    length = F.regexp_extract(F.col("record").cast("string"), "\\r\\nContent-Length: (\\d+)\\r\\n", 1).cast("int")
+    size = F.octet_length("record")
+    cut = records.withColumn("_block", size - length - len(CRLF + CRLF))
+    cut = cut.withColumn("head", F.substr("record", F.lit(1), F.col("_block")).cast("string"))
     url = F.coalesce(_field("WARC-Target-URI"), F.lit(""))
     url = F.replace(F.replace(url, F.lit("%0D"), F.lit("\r")), F.lit("%0A"), F.lit("\n"))
-    return records.select(
+    skip = len(HTTP)  # the block starts with the answer's own header
+    inside = F.substr("record", F.col("_block") + 1 + skip, size - F.col("_block") - skip - len(CRLF + CRLF))
+    refers = _field("WARC-Refers-To", "<urn:page:(-?\\d+)>").cast("long")
+    return cut.select(
         _field("WARC-Record-ID", "<urn:page:(-?\\d+)>").cast("long").alias("page_id"),
         F.replace(url, F.lit("%25"), F.lit("%")).alias("url"),
-        "payload",
+        F.when(refers.isNull(), inside).otherwise(F.col("payload")).alias("payload"),
         _field("WARC-Payload-Digest", "sha256:([0-9a-f]+)").alias("payload_digest"),
         _field("WARC-Type").alias("record_type"),
-        _field("WARC-Refers-To", "<urn:page:(-?\\d+)>").cast("long").alias("refers_to"),
+        refers.alias("refers_to"),
     )
 
 
@@ -133,4 +152,4 @@ def round_trip(pages: DataFrame, ws: Workspace | None = None) -> DataFrame:
     """Write an archive of `pages` to the shared folder and read it back; one row for each page."""
     ws = ws or Workspace(pages.sparkSession, "archive")
     write_archive(pages, ws.path("archive"))
-    return parse(read_archive(pages.sparkSession, ws.path("archive")))
+    return parse(record_bytes(read_archive(pages.sparkSession, ws.path("archive"))))
