@@ -8,6 +8,7 @@ every cell joins what it holds independently. Of two cells only the lower one me
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -28,9 +29,10 @@ CELL = 4096  # vectors of a cell that one task holds; a larger cell is met in bl
 VISITORS = 16384
 SLACK = 1e-7  # far above the rounding of an angle
 SLICE = 1024
+BROADCAST_CLASSES = 500_000
 
-_HOMES = "rid long, vec_id long, dim int, unit binary, home int, angle double"
-_MEETINGS = "dim int, cell int, bi int, bj int, own boolean, rid long, unit binary"
+_HOMES = "rid long, vec_id long, dim int, unit binary, home int, angle double, digest binary"
+_MEETINGS = "dim int, cell int, bi int, bj int, own boolean, rid long, unit binary, n long"
 
 
 def _units(column: pa.Array) -> list[np.ndarray | None]:
@@ -65,6 +67,10 @@ def choose_pivots(vectors: np.ndarray, n: int) -> np.ndarray:
     return vectors[picked]
 
 
+def _digest(unit: np.ndarray) -> bytes:
+    return hashlib.blake2b((unit + 0.0).tobytes(), digest_size=16).digest()  # no -0.0
+
+
 def _home(pivots: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,8 +94,9 @@ def _home(pivots: dict[int, np.ndarray]):
                     pa.array([None if u is None else u.tobytes() for u in units], pa.binary()),
                     pa.array(home, pa.int32()),
                     pa.array(angle, pa.float64()),
+                    pa.array([None if u is None else _digest(u) for u in units], pa.binary()),
                 ],
-                ["rid", "vec_id", "dim", "unit", "home", "angle"],
+                ["rid", "vec_id", "dim", "unit", "home", "angle", "digest"],
             )
 
     return run
@@ -107,23 +114,23 @@ def _meet(pivots: dict, cells: dict[tuple[int, int], tuple[float, int]], own_blo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rids, dims, homes = (batch.column(k).to_pylist() for k in (0, 2, 4))
-            units, angles = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            units, angles, sizes = (batch.column(k).to_pylist() for k in (3, 5, 7))
             spread = mix(np.array(rids, np.uint64) + np.uint64(1)).tolist() if rids else []
             rows: list[tuple] = []
-            for rid, d, u, h, a, r in zip(rids, dims, units, homes, angles, spread):
+            for rid, d, u, h, a, r, w in zip(rids, dims, units, homes, angles, spread, sizes):
                 n, v = own_blocks[d, h], visit_blocks[d, h]
                 b = r % n
-                rows += [(d, h, min(b, o), max(b, o), True, rid, u) for o in range(n)]
-                rows += [(d, h, b, n + o, True, rid, u) for o in range(v)]
+                rows += [(d, h, min(b, o), max(b, o), True, rid, u, w) for o in range(n)]
+                rows += [(d, h, b, n + o, True, rid, u, w) for o in range(v)]
                 if h and d in pivots:
                     to = _angles(np.frombuffer(u)[None, :], pivots[d][:h])[0]
                     for i in np.flatnonzero(to <= a + 2 * reach).tolist():
                         if (d, i) in cells and to[i] <= cells[d, i][0] + reach:
                             n, v = own_blocks[d, i], visit_blocks[d, i]
-                            rows += [(d, i, o, n + r % v, False, rid, u) for o in range(n)]
+                            rows += [(d, i, o, n + r % v, False, rid, u, w) for o in range(n)]
             for lo in range(0, len(rows), 10_000):
-                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary())
-                names = ["dim", "cell", "bi", "bj", "own", "rid", "unit"]
+                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary(), pa.int64())
+                names = ["dim", "cell", "bi", "bj", "own", "rid", "unit", "n"]
                 columns = zip(*rows[lo : lo + 10_000])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -143,7 +150,7 @@ def _join(own_blocks: dict[tuple[int, int], int], cosine: float):
         for table in grouped(batches, 4):
             at = bounds(table, 4)
             dim, cell, bi, bj, own = (table.column(k).to_numpy() for k in range(5))
-            rid, units = table.column(5).to_numpy(), table.column(6)
+            rid, units, sizes = table.column(5).to_numpy(), table.column(6), table.column(7).to_numpy()
             for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
                 if hi - lo < 2:
                     continue
@@ -157,13 +164,14 @@ def _join(own_blocks: dict[tuple[int, int], int], cosine: float):
                     left, right = np.flatnonzero(part == bi[lo]), np.flatnonzero(part == bj[lo])
                 else:
                     left, right = np.flatnonzero(mine), np.flatnonzero(~mine)
-                yield from _found(x, ids, left, right, cosine)
+                yield from _found(x, ids, sizes[lo:hi], left, right, cosine)
 
     return run
 
 
-def _found(x, ids, left, right, cosine) -> Iterator[pa.RecordBatch]:
-    """Links of left with right: a count for each row, and pairs that connect what the links connect."""
+def _found(x, ids, sizes, left, right, cosine) -> Iterator[pa.RecordBatch]:
+    """Links of left with right: for each row how many vectors those it links with stand for, and pairs that connect
+    what the links connect."""
     n, forest, a, b = np.zeros(len(ids), np.int64), Forest(len(ids)), [], []
     for lo in range(0, len(right), SLICE):
         some = right[lo : lo + SLICE]
@@ -171,7 +179,7 @@ def _found(x, ids, left, right, cosine) -> Iterator[pa.RecordBatch]:
         i, j = left[i], some[j]
         if left is right:
             i, j = i[i < j], j[i < j]
-        n += np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+        n += np.bincount(i, sizes[j], len(ids)).astype(np.int64) + np.bincount(j, sizes[i], len(ids)).astype(np.int64)
         for p, q in zip(i.tolist(), j.tolist()):
             if forest.join(p, q):
                 a.append(int(ids[p])), b.append(int(ids[q]))
@@ -190,7 +198,7 @@ def near_vectors(
 
     Two rows link when the cosine of their vectors is at least `cosine`. Vectors that are null, empty or zero or hold null
     or non-finite parts link with nothing, nor do vectors of different lengths. Every row counts as a vector of its own,
-    also when ids or vectors repeat; component_id is the smallest vec_id of the rows that links connect. A row with a null
+    also when ids or vectors repeat (vectors of one direction are compared once, for all of them); component_id is the smallest vec_id of the rows that links connect. A row with a null
     vec_id counts, and is named by the others of its component or null.
 
     Pivots are picked among at most PIVOT_SAMPLE vectors; that choice changes the work and not the result. At
@@ -212,7 +220,14 @@ def near_vectors(
     count = max(1, min(MAX_PIVOTS, round(total / cell)))
     pivots = {d: choose_pivots(np.array(x), count) for d, x in by_dim.items()}
     homes = ws.save(map_arrow(rows, _home(pivots), _HOMES), "homes")
-    held = homes.where("home is not null")
+    # Equal directions are one class: its first row meets the others', and stands for n.
+    known = homes.where("home is not null").groupBy("digest")
+    several = known.agg(F.min("rid").alias("rep"), F.count("*").alias("n"), F.min("vec_id").alias("least")).where("n > 1")
+    several = ws.save(several, "several")
+    several = F.broadcast(several) if several.count() <= BROADCAST_CLASSES else several
+    classed = homes.join(several, "digest", "left").withColumn("rep", F.coalesce("rep", "rid"))
+    held = classed.where("home is not null and rid = rep")
+    held = held.select("rid", "vec_id", "dim", "unit", "home", "angle", "digest", F.coalesce("n", F.lit(1)).alias("n"))
     found = held.groupBy("dim", "home").agg(F.max("angle").alias("r"), F.count("*").alias("n")).collect()
     cells = {(c["dim"], c["home"]): (c["r"] + SLACK, c["n"]) for c in found}
     reach = math.acos(min(1.0, cosine)) + SLACK
@@ -223,13 +238,16 @@ def near_vectors(
     links = ws.save(map_arrow(dealt, _join(own_blocks, cosine), "a long, b long, n long"), "links")
     n_links = links.where("n is not null").groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("n"))
     groups = components(ws, links.where("n is null").select("a", "b"), "vectors")
-    owner = homes.select(F.col("rid").alias("node"), "vec_id").join(groups, "node")
-    named = owner.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    member = groups.join(named, "component").select(F.col("node").alias("rid"), "component_id")
-    out = homes.select("rid", "vec_id").join(n_links, "rid", "left").join(member, "rid", "left")
-    out = out.select(
+    own = classed.select("rep", "rid", F.coalesce("n", F.lit(1)).alias("size"), F.coalesce("least", "vec_id").alias("least"))
+    owner = own.where("rid = rep").join(groups, own["rep"] == groups["node"])
+    named = owner.groupBy("component").agg(F.min("least").alias("component_id"))
+    member = groups.join(named, "component").select(F.col("node").alias("rep"), "component_id")
+    sizes = F.coalesce("n", F.lit(1)).alias("size")
+    out = classed.select("rep", "vec_id", sizes, F.coalesce("least", "vec_id").alias("least"))
+    out = out.join(n_links.withColumnRenamed("rid", "rep").withColumnRenamed("n", "others"), "rep", "left")
+    out = out.join(member, "rep", "left").select(
         "vec_id",
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "vec_id").alias("component_id"),
+        (F.coalesce("others", F.lit(0)) + F.col("size") - 1).cast("long").alias("n_links"),
+        F.coalesce("component_id", "least").alias("component_id"),
     )
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
