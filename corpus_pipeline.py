@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partura.llm.lines import dedup_lines
-from partura.llm.minhash import BROADCAST_IDS, near_duplicates
+from partura.llm.minhash import one_of_each
 from partura.llm.mixing import mix
 from partura.llm.packing import pack
 from partura.llm.quality import classify
@@ -34,11 +34,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates. Documents of which there is one stay where they are."""
-    ws = Workspace(spark, "kept")
-    gone = ws.save(near_duplicates(docs, ws=ws).where("not kept").select("doc_id").distinct(), "gone")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near duplicates; rows that repeat a doc_id, or a text without one, are such a group."""
+    return one_of_each(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
