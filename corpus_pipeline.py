@@ -56,8 +56,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing),
 ]
 
-#: Classifier, tokenizer and raking are not SQL. The stages' test checks columns, unique ids, ids from the input and packed
-#: lengths only; which documents a stage keeps is tested for its operator alone, in tests/llm/.
+#: Classifier, tokenizer and raking are not SQL. tests/llm/test_pipeline.py checks what each stage keeps of odd rows, and
+#: mixing against plain fitting.
 ORACLE_SQL = None
 
 
