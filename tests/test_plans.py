@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partura import build_episodes
+from partura.functions import layout
 from partura.functions.joins import broadcast_if_small
 from partura.functions.membership import field_of, maybe_in
 from partura.functions.runs import expand_runs
@@ -191,3 +192,42 @@ def test_expanding_is_spread(spark):
     parts = rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
     assert sum(r["count"] for r in parts) == 10**6
     assert len(parts) > 1
+
+
+def small_partitions(monkeypatch, size: int) -> None:
+    monkeypatch.setattr(layout, "BYTES_PER_PARTITION", size)
+    monkeypatch.setattr(layout, "SMALL_BYTES", 4 * size)
+
+
+def test_partitions_by_person_grow_with_the_input(spark, monkeypatch):
+    """Adaptive execution would make one task of all people here, and one per core at any size."""
+    cdm = driver_cdm(spark, SMALL)
+    size = sum(layout.input_bytes(t) for t in (cdm.condition_occurrence, cdm.drug_exposure))
+    assert layout.partitions_for([cdm.condition_occurrence, cdm.drug_exposure]) is None
+    plain = study(cdm).outcome_people.collect()
+    for share in (10, 30):
+        small_partitions(monkeypatch, size // share)
+        assert tl.person_partitions(cdm) >= share
+        runs = study(cdm).outcome_people
+        assert runs.rdd.getNumPartitions() == tl.person_partitions(cdm)
+        assert sorted(runs.collect(), key=str) == sorted(plain, key=str)
+        moved = re.findall(r"hashpartitioning\(person_id#\d+L, (\d+)\)", physical(runs))
+        assert set(moved) == {str(tl.person_partitions(cdm))}
+
+
+def test_tables_of_unknown_size_get_the_partitions_asked_for(spark):
+    rows = spark.sparkContext.parallelize([(1,), (2,)]).toDF(["person_id"])
+    assert layout.input_bytes(rows) is None
+    assert layout.partitions_for([rows]) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_a_large_saved_stage_has_the_buckets_asked_for(spark, tmp_path, monkeypatch):
+    cdm = driver_cdm(spark, SMALL)
+    small_partitions(monkeypatch, layout.input_bytes(cdm.drug_exposure) // 10)
+    spark.sql(f"CREATE DATABASE dealt LOCATION '{tmp_path}/dealt'")
+    try:
+        study(cdm).save("dealt.settled")
+        own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert len(spark.table("dealt.settled").inputFiles()) == own
+    finally:
+        spark.sql("DROP DATABASE dealt CASCADE")
