@@ -231,3 +231,13 @@ def test_a_large_saved_stage_has_the_buckets_asked_for(spark, tmp_path, monkeypa
         assert len(spark.table("dealt.settled").inputFiles()) == own
     finally:
         spark.sql("DROP DATABASE dealt CASCADE")
+
+
+def test_pools_are_counted_before_there_is_a_row_per_step(spark):
+    """Equal events are one before each becomes a row per step, and no sort holds a row per step."""
+    plan = physical(all_queries()["dedupe_events"](spark, SMALL))
+    assert not re.search(r"windowspecdefinition\([^)]*target", plan)
+    assert not re.search(r"hashpartitioning\([^)]*target", plan)
+    lines = plan.split("\n")
+    step = next(i for i, x in enumerate(lines) if "Generate explode(filter(" in x)
+    assert "HashAggregate" in "\n".join(lines[step + 1 : step + 3])
