@@ -20,6 +20,7 @@ from partura.operators import timeline as tl
 from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
 from partura.rules import Rules
+from partura.sources import driver_tables
 from partura.sources.driver_tables import driver_cdm
 from tests.clinic import clinic
 from tests.conftest import SMALL
@@ -215,6 +216,45 @@ def test_partitions_by_person_grow_with_the_input(spark, monkeypatch):
         assert set(moved) == {str(tl.person_partitions(cdm))}
 
 
+def order_tables(spark, folder: str) -> None:
+    """Orders of 40 customers, seven lines each; some lines lack their order or its key."""
+    orders = spark.range(300).selectExpr("id AS o_orderkey", "id % 40 AS o_custkey", "'x' AS o_comment")
+    lines = spark.range(310).selectExpr("IF(id > 305, NULL, id) AS l_orderkey", "explode(sequence(1, 7)) AS l_linenumber")
+    lines = lines.selectExpr(
+        "*", "l_orderkey * 7 + l_linenumber AS l_partkey", "'R' AS l_returnflag", "'F' AS l_linestatus",
+        "CAST(l_orderkey % 30 AS DOUBLE) AS l_quantity",
+        "date_add(DATE '1995-01-01', CAST(l_orderkey * 13 % 1400 AS INT)) AS l_shipdate",
+    )
+    tables = {"orders": orders, "lineitem": lines, "part": spark.range(60).selectExpr("id AS p_partkey")}
+    tables["customer"] = spark.range(40).selectExpr("id AS c_custkey")
+    for name, rows in tables.items():
+        rows.write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_joins_of_the_views_are_dealt_out_as_the_input_grows(spark, tmp_path, monkeypatch):
+    """Adaptive execution would bring the partitions of lines and orders together, here to one task."""
+    order_tables(spark, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = driver_cdm(spark, str(tmp_path))
+        assert plain.condition_occurrence.rdd.getNumPartitions() == 1
+        files = ("lineitem", "orders")
+        size = sum(layout.input_bytes(spark.read.parquet(f"{tmp_path}/{f}.parquet")) for f in files)
+        small_partitions(monkeypatch, size // 10)
+        for share in (10, 30):
+            monkeypatch.setattr(driver_tables, "BYTES_PER_JOIN", size // share)
+            cdm = driver_cdm(spark, str(tmp_path))
+            for name in ("condition_occurrence", "measurement", "drug_exposure"):
+                rows = getattr(cdm, name)
+                assert share <= rows.rdd.getNumPartitions() <= share + 1
+                assert sorted(rows.collect(), key=str) == sorted(getattr(plain, name).collect(), key=str)
+            scans = [x for x in physical(cdm.drug_exposure).split("\n") if "FileScan" in x]
+            assert scans and not any("o_comment" in x or "l_quantity" in x for x in scans)
+        assert plain.drug_exposure.count() == 2 * 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_tables_of_unknown_size_get_the_partitions_asked_for(spark):
     rows = spark.sparkContext.parallelize([(1,), (2,)]).toDF(["person_id"])
     assert layout.input_bytes(rows) is None
