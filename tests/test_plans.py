@@ -15,7 +15,9 @@ from partura.functions.joins import broadcast_if_small
 from partura.functions.membership import field_of, maybe_in
 from partura.functions.runs import expand_runs
 from partura.functions.search import count_while
+from partura.operators import episodes as ep
 from partura.operators import outcomes as oc
+from partura.operators import starts as st
 from partura.operators import timeline as tl
 from partura.plans.pipeline import study
 from partura.plans.queries import all_queries
@@ -255,6 +257,43 @@ def test_joins_of_the_views_are_dealt_out_as_the_input_grows(spark, tmp_path, mo
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def lanes_of(df) -> set[str]:
+    return set(re.findall(r"hashpartitioning\(lane_key#\d+L?, lane#\d+L?, (\d+)\)", physical(df)))
+
+
+def test_lanes_are_dealt_out_as_the_input_grows(spark, tmp_path, monkeypatch):
+    """Adaptive execution would bring the lanes together, here to one task."""
+    order_tables(spark, str(tmp_path))
+    cdm = driver_cdm(spark, str(tmp_path))
+    plain = study(cdm).picks.collect()
+    size = sum(layout.input_bytes(t) for t in (cdm.condition_occurrence, cdm.drug_exposure))
+    for share in (10, 30):
+        small_partitions(monkeypatch, size // share)
+        s = study(cdm)
+        assert s.partitions >= share
+        borrowed = st.starts_of_kind(s.outcomes_with(("OVUL2",)), "OVUL2", s.rules, s.partitions)
+        assert lanes_of(s.picks) == lanes_of(borrowed) == {str(s.partitions)}
+        assert s.picks.rdd.getNumPartitions() == s.partitions
+        assert sorted(s.picks.collect(), key=str) == sorted(plain, key=str)
+        episodes = ep.final_episodes(s.supported_episodes, s.rules)
+        assert lanes_of(episodes) == lanes_of(ep.all_starts(s.picks, s.rules)) == {str(s.partitions)}
+
+
+def test_any_number_of_lanes_lends_the_same(spark):
+    """Person k is bounded by event k of person k, in whichever lane both lie."""
+    rng = random.Random(5)
+    kinds = ("LB", "SA", "AB", "OVUL2", "OVUL2", "AGP")
+    events = [(p, rng.randrange(6000), rng.choice(kinds)) for p in range(1, 60) for _ in range(40)]
+    s = study(clinic(spark, events))
+    rows = s.outcomes_with(("OVUL2",)).persist()
+    try:
+        found = [st.starts_of_kind(rows, "OVUL2", s.rules, n).collect() for n in (None, 1, 7, 40)]
+    finally:
+        rows.unpersist()
+    assert len(found[0]) > 5
+    assert all(sorted(some) == sorted(found[0]) for some in found)
+
+
 def test_tables_of_unknown_size_get_the_partitions_asked_for(spark):
     rows = spark.sparkContext.parallelize([(1,), (2,)]).toDF(["person_id"])
     assert layout.input_bytes(rows) is None
