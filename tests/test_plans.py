@@ -279,6 +279,31 @@ def test_lanes_are_dealt_out_as_the_input_grows(spark, tmp_path, monkeypatch):
         assert lanes_of(episodes) == lanes_of(ep.all_starts(s.picks, s.rules)) == {str(s.partitions)}
 
 
+@pytest.mark.parametrize("mode", ["reference", "corrected"])
+def test_large_tables_of_people_are_not_broadcast(spark, tmp_path, monkeypatch, mode):
+    """By its estimate, of compressed columns, a broadcast of all people would look small at any size."""
+    order_tables(spark, str(tmp_path))
+    cdm = driver_cdm(spark, str(tmp_path))
+    rules = Rules(ovul2_join=mode)
+
+    def people_broadcast(df) -> bool:
+        return bool(re.search(r"BroadcastHashJoin \[person_id", physical(df)))
+
+    small = study(cdm, rules=rules).numbered_episodes
+    assert people_broadcast(small)
+    plain = small.collect()
+    assert plain
+    size = sum(layout.input_bytes(t) for t in (cdm.condition_occurrence, cdm.drug_exposure))
+    small_partitions(monkeypatch, size // 10)
+    s = study(cdm, rules=rules)
+    assert not people_broadcast(s.numbered_episodes)
+    # Runs, episodes from the lanes, enrolment and person; else each stays where the runs were dealt to.
+    moved = re.findall(r"hashpartitioning\(person_id#\d+L, (\d+)\)", physical(s.numbered_episodes))
+    assert moved == [str(s.partitions)] * (4 if mode == "reference" else 3)
+    assert s.numbered_episodes.rdd.getNumPartitions() == s.partitions
+    assert sorted(s.numbered_episodes.collect(), key=str) == sorted(plain, key=str)
+
+
 def test_any_number_of_lanes_lends_the_same(spark):
     """Person k is bounded by event k of person k, in whichever lane both lie."""
     rng = random.Random(5)
